@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, table
-from . import canonical, components, ledger, mixing, packing, survivor
+from . import abuse, canonical, components, ledger, mixing, packing, survivor
 
 Query = Callable[[SparkSession, str], DataFrame]
 PERSON_FIELD_NAMES = ["primary_email", "current_affiliation", "country", "h_index"]
@@ -74,9 +74,24 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares_report(p9_mix(spark, d), table(spark, d, "mix_target"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that are abusive themselves."""
+    return abuse.abusive(p10_scores(spark, d)).select("doc_id")
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    """A score for every document."""
+    return abuse.score_texts(table(spark, d, "documents"))
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Rates of abusive documents by source."""
+    return abuse.rates(p10_scores(spark, d))
+
+
 def queries() -> dict[str, Query]:
     """Name -> query."""
-    names = ["p1_found", "p1_survivors", "p2_found", "p2_ledger", "p5_found", "p5_rates", "p6_found", "p6_report", "p8_pack", "p8_fill", "p9_mix", "p9_shares"]
+    names = ["p1_found", "p1_survivors", "p2_found", "p2_ledger", "p5_found", "p5_rates", "p6_found", "p6_report", "p8_pack", "p8_fill", "p9_mix", "p9_shares", "p10_found", "p10_scores", "p10_rates"]
     return {n: globals()[n] for n in names}
 
 
