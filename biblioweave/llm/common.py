@@ -54,6 +54,8 @@ def ascii_lower(c: Column) -> Column:
 
 def fold(text: str) -> str:
     """``ascii_lower`` for Python: case-folded, compatibility forms resolved, without accents."""
+    if text.isascii():
+        return text.lower()
     out = unicodedata.normalize("NFKD", text.casefold().replace("ø", "o").replace("ł", "l").replace("ı", "i").replace("đ", "d"))
     return "".join(ch for ch in out if not unicodedata.combining(ch))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, table
-from . import abuse, canonical, components, ledger, mixing, packing, survivor
+from . import abuse, canonical, components, crosslink, ledger, mixing, packing, spellings, survivor
 
 Query = Callable[[SparkSession, str], DataFrame]
 PERSON_FIELD_NAMES = ["primary_email", "current_affiliation", "country", "h_index"]
@@ -34,6 +34,21 @@ def p2_ledger(spark: SparkSession, d: str) -> DataFrame:
     return ledger.publication_ledger(table(spark, d, "publication")).select("keep_id", "copies", "first_at")
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of one person in one source whose names are written differently."""
+    return spellings.spelled_differently(table(spark, d, "person"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of one person in different sources."""
+    return crosslink.linked_people(table(spark, d, "person")).select("person_id_a", "person_id_b")
+
+
+def p4_links(spark: SparkSession, d: str) -> DataFrame:
+    """The same with a confidence for each pair."""
+    return crosslink.linked_people(table(spark, d, "person"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Entry meant by each typed country and affiliation."""
     return canonical.map_person(table(spark, d, "person"), table(spark, d, "country_ref"), table(spark, d, "qs_university"))
@@ -91,7 +106,7 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Name -> query."""
-    names = ["p1_found", "p1_survivors", "p2_found", "p2_ledger", "p5_found", "p5_rates", "p6_found", "p6_report", "p8_pack", "p8_fill", "p9_mix", "p9_shares", "p10_found", "p10_scores", "p10_rates"]
+    names = ["p1_found", "p1_survivors", "p2_found", "p2_ledger", "p3_found", "p4_found", "p4_links", "p5_found", "p5_rates", "p6_found", "p6_report", "p8_pack", "p8_fill", "p9_mix", "p9_shares", "p10_found", "p10_scores", "p10_rates"]
     return {n: globals()[n] for n in names}
 
 
