@@ -67,10 +67,10 @@ def cascade_lookup(asked: DataFrame, steps: Sequence[tuple[str, DataFrame, str,
     return out.withColumn(result, F.coalesce(*answers)).drop(*[f"_a{k}" for k in range(len(steps))]).where(F.col(result).isNotNull())
 
 
-def lookup_or_make(asked: DataFrame, table: DataFrame, on: str, key: str, made: Column) -> DataFrame:
+def lookup_or_make(asked: DataFrame, by: str, table: DataFrame, on: str, key: str, made: Column) -> DataFrame:
     """Every match of each asked row (all that share the value), or a made key where there is none (``is_made``)."""
     known = table.select(F.col(on).alias("_on"), F.col(key).alias("_key"))
-    out = asked.join(known, F.col(on) == F.col("_on"), "left")
+    out = asked.join(known, F.col(by) == F.col("_on"), "left")
     return out.withColumn(key, F.coalesce("_key", made)).withColumn("is_made", F.col("_key").isNull()).drop("_on", "_key")
 
 

@@ -10,10 +10,18 @@ from pyspark.sql import functions as F
 from ..operators.survivorship import fold
 
 
-def new_files(spark: SparkSession, schema, path: str, fmt: str = "parquet", per_trigger: int | None = None) -> DataFrame:
-    """A stream of the rows of files that were not read before."""
+def new_files(spark: SparkSession, schema, folder: str, name: str | None = None, fmt: str = "parquet", per_trigger: int | None = None) -> DataFrame:
+    """A stream of the rows of files that were not read before: those of a folder, or of one table (file or folder) in it."""
     reader = spark.readStream.format(fmt).schema(schema)
-    return (reader.option("maxFilesPerTrigger", per_trigger) if per_trigger else reader).load(path)
+    if per_trigger:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
+    if name is None:
+        return reader.load(folder)
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return reader.load(f"{folder}/{name}")
+    return reader.option("pathGlobFilter", name).load(folder)
 
 
 def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
