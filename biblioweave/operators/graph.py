@@ -46,8 +46,9 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataF
 
 def star_edges(df: DataFrame, row_id: str, key: str) -> DataFrame:
     """For every key that several rows share, links from its smallest row to the others."""
-    least = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(row_id).alias("a"))
-    return df.join(least, key).select("a", F.col(row_id).alias("b")).where("a <> b").distinct()
+    plain = df.select(F.col(row_id).alias("b"), F.col(key).alias("_key")).where(F.col("_key").isNotNull())
+    least = plain.groupBy("_key").agg(F.min("b").alias("a"))
+    return plain.join(least, "_key").select("a", "b").where("a <> b").distinct()
 
 
 def phased_merges(nodes: DataFrame, node: str, phases: Sequence[tuple[str, DataFrame]]) -> DataFrame:
