@@ -56,17 +56,19 @@ def neighbours(feats: DataFrame, window: int = 10, run: int = 4000) -> DataFrame
     """(a, b, src_a, src_b, sim): compared pairs that may be one person, a < b, each once."""
     rarity = people.count_words(feats)
     cols = [c.split()[0] for c in people.FEATURES.split(", ")]
+    wide = [c for c in cols if c != "name"]
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = list(b[cols].itertuples(index=False, name=None))
-            keys = [sort_keys(r, rarity) for r in rows]
-            at = [i for i, ks in enumerate(keys) for _ in ks]
-            yield b[cols].iloc[at].assign(key=[k for ks in keys for k in ks])
+            keys = [sort_keys(r, rarity) for r in b[cols].itertuples(index=False, name=None)]
+            yield pd.DataFrame({"key": [k for ks in keys for k in ks], "person_id": [i for i, ks in zip(b["person_id"], keys, strict=True) for _ in ks]})
 
-    tall = feats.mapInPandas(keyed, f"{people.FEATURES}, key string")
+    # keys and ids are sorted alone; the features join them once every row has its place
+    blank = [F.lit(None).cast("string").alias("name") if c == "name" else F.array().cast("array<int>").alias(c) if c == "keywords" else F.lit(0).alias(c) if c in ("h", "cites") else F.lit("").alias(c) if c == "country" else F.col(c) for c in cols]
+    tall = cut(feats.select(*blank).mapInPandas(keyed, "key string, person_id string"), "sort-keys")
     ordered = tall.repartitionByRange("key", "person_id").sortWithinPartitions("key", "person_id")
-    ordered = cut(ordered.withColumn("m", F.monotonically_increasing_id()), "sorted")
+    ordered = cut(ordered.select("person_id", F.monotonically_increasing_id().alias("m")), "sorted")
+    drop_cut(tall)
     # the place in the whole order: rows of earlier partitions, then the place within one
     part, inside = F.shiftright("m", 33).cast("int"), F.col("m").bitwiseAND(F.lit((1 << 33) - 1))
     counts = sorted((r[0], r[1]) for r in ordered.groupBy(part.alias("p")).agg(F.count("*")).collect())
@@ -74,10 +76,11 @@ def neighbours(feats: DataFrame, window: int = 10, run: int = 4000) -> DataFrame
     for p, n in counts:
         before[p], total = total, total + n
     start = F.element_at(F.create_map(*[x for p, n in before.items() for x in (F.lit(p), F.lit(n).cast("bigint"))]), part) if before else F.lit(0).cast("bigint")
-    placed = ordered.withColumn("place", inside + start).drop("m", "key")
+    placed = ordered.select("person_id", (inside + start).alias("place"))
     home = (F.col("place") / F.lit(run)).cast("bigint")
     homes = F.when((F.col("place") % run < window - 1) & (home > 0), F.array(home, home - 1)).otherwise(F.array(home))
-    runs = placed.withColumn("run", F.explode(homes)).repartition("run").sortWithinPartitions("run", "place")
+    runs = placed.withColumn("run", F.explode(homes)).join(feats.select(*wide), "person_id").withColumn("name", F.lit(None).cast("string"))
+    runs = runs.repartition("run").sortWithinPartitions("run", "place")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         recent: list[tuple] = []
@@ -88,9 +91,9 @@ def neighbours(feats: DataFrame, window: int = 10, run: int = 4000) -> DataFrame
             for r, row in zip(b["run"], b[cols].itertuples(index=False, name=None), strict=True):
                 if r != now:
                     recent, now = [], r
-                marks = {w[:3] for w in (*row[3], *row[4]) if len(w) > 2} | {w[-3:] for w in (*row[3], *row[4]) if len(w) > 2}
+                marks = people.name_marks(row)
                 for old, old_marks in recent:
-                    if old[0] == row[0] or old[6] and row[6] and old[6] != row[6] or marks.isdisjoint(old_marks):
+                    if old[0] == row[0] or old[6] and row[6] and old[6] != row[6] or not people.maybe_same_name(marks, old_marks):
                         continue
                     x, y = (old, row) if old[0] < row[0] else (row, old)
                     if (x[0], y[0]) in seen:
