@@ -241,7 +241,7 @@ class Institutions:
         if self.auto is None:
             self.auto = automaton(self.names)
         parts = [p for p in re.split(r"\s+[/|]\s+|[;()\"“”]|\s-\s|,", value) if p.strip()]
-        if re.search(r",\s*(?:the\s+)?\w+\.?\s+(?:of|de)\s*(?:$|,|\()", value, re.IGNORECASE):  # "Vestashan, National University of"
+        if re.search(r",[^,()]*\s(?:of|de)\s*(?:$|,|\()", value, re.IGNORECASE):  # "Vestashan, National University of"
             parts += [" ".join(value.split(",")[k : k + 2]) for k in range(value.count(","))]
         exact, near = [], []
         for part in parts:
