@@ -131,3 +131,40 @@ def cluster_persons(person: DataFrame, phases: Sequence[str] = ("orcids", "rids"
     return cluster_fold(nodes, links), decisions, links
 
 
+
+
+def reconcile(persons: DataFrame, relations: DataFrame, by: str, person_id: str, order: Sequence[str], rules: dict[str, str], best: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """Persons that share a value become one under the id of the fullest of them, and relations follow.
+
+    ``relations`` has the person id and other columns; a relation that two of the persons had stays once.
+    """
+    from .survivorship import fold, representative
+
+    shared = persons.where(F.col(by).isNotNull())
+    chosen = representative(shared, [by], best, person_id).withColumnRenamed(person_id, "_into")
+    mapped = persons.join(chosen, by, "left").withColumn("_into", F.coalesce("_into", person_id))
+    merged = fold(mapped, ["_into"], order, rules).withColumnRenamed("_into", person_id)
+    moves = mapped.select(F.col(person_id).alias("_from"), "_into").distinct()
+    rest = [c for c in relations.columns if c != person_id]
+    followed = relations.join(moves, F.col(person_id) == F.col("_from"), "left").select(F.coalesce("_into", person_id).alias(person_id), *rest).distinct()
+    return merged, followed
+
+
+def evidence_pairs(relations: DataFrame, occurrences: DataFrame, least: float = STRONG_NAME) -> DataFrame:
+    """(a, b, keys): scholar and author of a publication that an outside list relates, where the names agree well enough.
+
+    ``relations``: node, publication_id, name (struct) and aliases of the name in the paper, null where it has none; such
+    a relation pairs with every author of the paper. ``occurrences``: node, publication_id, name, aliases.
+    """
+    l = relations.select(F.col("node").alias("l_node"), "publication_id", F.col("name").alias("l_name"), F.col("aliases").alias("l_aliases"))
+    r = occurrences.select(F.col("node").alias("r_node"), "publication_id", F.col("name").alias("r_name"), F.col("aliases").alias("r_aliases"))
+    score = name_score(F.col("l_name"), F.col("r_name"), F.col("l_aliases"), F.col("r_aliases"))["score"]
+    kept = l.join(r, "publication_id").where(F.col("l_name").isNull() | (F.coalesce(score, F.lit(0.0)) >= least))
+    return kept.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")).where("a <> b").distinct().withColumn("keys", F.array(F.lit("external_matched")))
+
+
+def match_score(given: Column, name_contained: Column, same_doi: Column) -> Column:
+    """Struct (score, confidence) of a delivered match: the given score, else 0.55 and what speaks for it."""
+    made = F.lit(0.55) + F.when(name_contained, 0.2).otherwise(0.0) + F.when(same_doi, 0.1).otherwise(0.0)
+    score = F.least(F.greatest(F.coalesce(given.cast("double"), made), F.lit(0.0)), F.lit(1.0))
+    return F.struct(score.alias("score"), F.when(score >= 0.85, "high").when(score >= 0.65, "medium").otherwise("low").alias("confidence"))

@@ -313,9 +313,9 @@ def mode_country(spark: SparkSession, d: str) -> DataFrame:
 
 @_query
 def pk_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of a publication id that contradict what came before."""
-    df = table(spark, d, "publication")
-    return survivorship.conflicts(df, ["publication_id"], ["created_at", "updated_at", "title"], ["publication_year", "source_title", "publisher"]).where("n_conflicts > 0")
+    """Records of a matched person that contradict what came before."""
+    df = table(spark, d, "person").where(F.col("canonical_person_id").isNotNull())
+    return survivorship.conflicts(df, ["canonical_person_id"], ["updated_at", "person_id"], ["country", "orcid", "h_index"]).where("n_conflicts > 0")
 
 
 @_query
@@ -450,13 +450,37 @@ def phased_merges(spark: SparkSession, d: str) -> DataFrame:
 
 @_query
 def remap_relations(spark: SparkSession, d: str) -> DataFrame:
-    """Author and publication of each matched person by ORCID, each relation once."""
-    a = table(spark, d, "author_occurrence").select("publication_id", "author_order", names.orcid(F.col("orcid")).alias("orcid"))
-    p = table(spark, d, "person").where(F.col("canonical_person_id").isNotNull()).select(names.orcid(F.col("orcid")).alias("orcid"), "canonical_person_id").where(F.col("orcid").isNotNull()).groupBy("orcid").agg(F.min("canonical_person_id").alias("canonical_person_id"))
-    r = a.join(p, "orcid").groupBy("canonical_person_id", "publication_id").agg(F.min("author_order").alias("author_order"))
+    """Author and publication of each matched person by name, each relation once."""
+    a = table(spark, d, "author_occurrence").select("publication_id", "author_order", F.col("author_name_norm").alias("name_norm"))
+    p = table(spark, d, "person").where(F.col("canonical_person_id").isNotNull() & F.col("name_norm").isNotNull()).groupBy("name_norm").agg(F.min("canonical_person_id").alias("canonical_person_id"))
+    r = a.join(p, "name_norm").groupBy("canonical_person_id", "publication_id").agg(F.min("author_order").alias("author_order"))
     return r.select(ids.hashed_id(F.col("canonical_person_id"), F.col("publication_id"), F.lit("author")).alias("relation_id"), "canonical_person_id", "publication_id", "author_order")
 
 
+@_query
+def reconcile_orcid(spark: SparkSession, d: str) -> DataFrame:
+    """Persons of one ORCID as one record under the id of the fullest."""
+    p = table(spark, d, "person").dropDuplicates(["person_id"]).select("person_id", names.orcid(F.col("orcid")).alias("orcid"), "country", "h_index", "matched_by_orcid", "updated_at")
+    filled = survivorship.density(F.col("country"), F.col("h_index"))
+    merged, _ = matching.reconcile(p, p.select("person_id"), "orcid", "person_id", ["updated_at", "person_id"], {"orcid": "first", "country": "first", "matched_by_orcid": "any", "updated_at": "max"}, [filled])
+    return merged.select("person_id", "orcid", "country", "matched_by_orcid", "updated_at")
+
+
+@_query
+def inferred_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of delivered pairs, made where there is none."""
+    m = matching.match_score(F.when(F.col("decision") == "merge", F.col("score")), F.array_contains("rules_hit", "name_compact"), F.array_contains("rules_hit", "shared_institution"))
+    return table(spark, d, "person_match_audit").select("candidate_a_id", "candidate_b_id", F.round(m["score"], 6).alias("match_score"), m["confidence"].alias("confidence"))
+
+
+@_query
+def relation_names(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of corresponding authors and all authors of a publication whose names agree (no SQL; names as in name_parts)."""
+    a = table(spark, d, "author_occurrence").dropDuplicates(["occurrence_id"])
+    full = a.select(F.col("occurrence_id").alias("node"), "publication_id", names.name_parts(F.col("author_name_raw")).alias("name"), F.coalesce("name_aliases", F.array().cast("array<string>")).alias("aliases"), "is_corresponding_author")
+    return matching.evidence_pairs(full.where("is_corresponding_author"), full).select("a", "b")
+
+
 # vectors
 
 

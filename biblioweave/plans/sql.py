@@ -113,11 +113,11 @@ ORACLES = {
           WHERE canonical_person_id IS NOT NULL AND country IS NOT NULL GROUP BY 1, 2)
         SELECT canonical_person_id, country FROM c QUALIFY row_number() OVER (PARTITION BY canonical_person_id ORDER BY n DESC, o) = 1""",
     "pk_conflicts": """
-        WITH c AS (SELECT publication_id,
-            coalesce(first_value(publication_year IGNORE NULLS) OVER w <> publication_year, false) OR coalesce(first_value(source_title IGNORE NULLS) OVER w <> source_title, false)
-              OR coalesce(first_value(publisher IGNORE NULLS) OVER w <> publisher, false) AS d
-          FROM publication WINDOW w AS (PARTITION BY publication_id ORDER BY created_at, updated_at, title ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-        SELECT publication_id, count(*) FILTER (WHERE d) AS n_conflicts FROM c GROUP BY 1 HAVING count(*) FILTER (WHERE d) > 0""",
+        WITH c AS (SELECT canonical_person_id,
+            coalesce(first_value(country IGNORE NULLS) OVER w <> country, false) OR coalesce(first_value(orcid IGNORE NULLS) OVER w <> orcid, false) OR coalesce(first_value(h_index IGNORE NULLS) OVER w <> h_index, false) AS d
+          FROM person WHERE canonical_person_id IS NOT NULL
+          WINDOW w AS (PARTITION BY canonical_person_id ORDER BY updated_at, person_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        SELECT canonical_person_id, count(*) FILTER (WHERE d) AS n_conflicts FROM c GROUP BY 1 HAVING count(*) FILTER (WHERE d) > 0""",
     "null_profile": " UNION ALL ".join(
         f"SELECT '{c}' AS field, count(*) AS n_rows, count(*) FILTER (WHERE {t}) AS n_null, round(count(*) FILTER (WHERE {t}) / count(*), 6) AS null_rate, CAST(0 AS BIGINT) AS n_anomalies FROM person"
         for c, t in [
@@ -171,10 +171,19 @@ ORACLES = {
         n AS (SELECT count(*) AS t FROM (SELECT person_id FROM person UNION SELECT candidate_a_id FROM person_match_audit UNION SELECT candidate_b_id FROM person_match_audit)),
         c AS (SELECT (SELECT t FROM n) - (SELECT count(*) - count(DISTINCT component) FROM comp_m) AS one, (SELECT t FROM n) - (SELECT count(*) - count(DISTINCT component) FROM comp_r) AS two)
         SELECT 'merge' AS phase, (SELECT t FROM n) - one AS merges FROM c UNION ALL SELECT 'manual_review', one - two FROM c""",
-    "remap_relations": f"""
-        WITH p AS (SELECT {_ORCID} AS o, min(canonical_person_id) AS c FROM person WHERE canonical_person_id IS NOT NULL AND {_ORCID} IS NOT NULL GROUP BY 1),
-        r AS (SELECT c, publication_id, min(author_order) AS author_order FROM (SELECT *, {_ORCID} AS o FROM author_occurrence) JOIN p USING (o) GROUP BY 1, 2)
+    "remap_relations": """
+        WITH p AS (SELECT name_norm, min(canonical_person_id) AS c FROM person WHERE canonical_person_id IS NOT NULL AND name_norm IS NOT NULL GROUP BY 1),
+        r AS (SELECT c, publication_id, min(author_order) AS author_order FROM author_occurrence JOIN p ON author_name_norm = name_norm GROUP BY 1, 2)
         SELECT sha1(c || '|' || publication_id || '|author') AS relation_id, c AS canonical_person_id, publication_id, author_order FROM r""",
+    "reconcile_orcid": f"""
+        WITH p AS (SELECT DISTINCT ON (person_id) person_id, {_ORCID} AS orcid, country, h_index, matched_by_orcid, updated_at FROM person),
+        r AS (SELECT orcid, person_id AS i FROM p WHERE orcid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY orcid ORDER BY (country IS NOT NULL)::INT + (h_index IS NOT NULL)::INT DESC, person_id DESC) = 1),
+        m AS (SELECT p.*, coalesce(r.i, p.person_id) AS i FROM p LEFT JOIN r ON p.orcid = r.orcid)
+        SELECT i AS person_id, first(orcid ORDER BY updated_at, person_id) FILTER (WHERE orcid IS NOT NULL) AS orcid, first(country ORDER BY updated_at, person_id) FILTER (WHERE country IS NOT NULL) AS country,
+          bool_or(matched_by_orcid) AS matched_by_orcid, max(updated_at) AS updated_at FROM m GROUP BY i""",
+    "inferred_scores": """
+        WITH s AS (SELECT candidate_a_id, candidate_b_id, least(greatest(coalesce(CASE WHEN decision = 'merge' THEN score END, 0.55::DOUBLE + CASE WHEN list_contains(rules_hit, 'name_compact') THEN 0.2::DOUBLE ELSE 0 END + CASE WHEN list_contains(rules_hit, 'shared_institution') THEN 0.1::DOUBLE ELSE 0 END), 0), 1) AS s FROM person_match_audit)
+        SELECT candidate_a_id, candidate_b_id, round(s, 6) AS match_score, CASE WHEN s >= 0.85 THEN 'high' WHEN s >= 0.65 THEN 'medium' ELSE 'low' END AS confidence FROM s""",
     "exact_knn": """
         WITH s AS (SELECT q.vec_id AS query_id, b.vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS c FROM embeddings q JOIN embeddings b ON q.vec_id <> b.vec_id WHERE q.vec_id % 100 = 0)
         SELECT query_id, vec_id, round(c, 4) AS cosine FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY c DESC, vec_id) <= 10""",
