@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import empty_to_null, normalize_text, split_ordered, strip_space
+from .text import bound, empty_to_null, normalize_text, split_ordered, strip_space
 
 #: Short forms and kind words that institution names are compared without or in full. Fixed values.
 EXPANSIONS = {"univ": "university", "inst": "institute", "tech": "technology", "technol": "technology", "natl": "national", "coll": "college", "sci": "science", "hosp": "hospital", "ctr": "center", "centre": "center", "dept": "department"}
@@ -72,11 +72,15 @@ def expanded_tokens(c: Column, drop_stopwords: bool = False) -> Column:
 
 def institution_aliases(c: Column) -> Column:
     """Forms of an institution's name in order of trust: whole, pieces, without and inside brackets, expanded, without stop words."""
-    plain = F.regexp_replace(c, r"\([^()]*\)", " ")
-    inside = F.regexp_extract(c, r"\(([^()]*)\)", 1)
-    pieces = F.transform(F.split(c, r"[,;\n]"), normalize_text)
-    forms = F.concat(F.array(normalize_text(c)), pieces, F.array(normalize_text(plain), normalize_text(inside), expanded_tokens(c), expanded_tokens(plain), expanded_tokens(c, True), expanded_tokens(plain, True)))
-    return F.array_distinct(F.array_compact(forms))
+
+    def forms(x: Column) -> Column:
+        plain = F.regexp_replace(x, r"\([^()]*\)", " ")
+        inside = F.regexp_extract(x, r"\(([^()]*)\)", 1)
+        pieces = F.transform(F.split(x, r"[,;\n]"), normalize_text)
+        listed = F.array(normalize_text(x), bound(plain, normalize_text), bound(inside, normalize_text), expanded_tokens(x), bound(plain, expanded_tokens), expanded_tokens(x, True), bound(plain, lambda y: expanded_tokens(y, True)))
+        return F.array_distinct(F.array_compact(F.concat(F.slice(listed, 1, 1), pieces, F.slice(listed, 2, 6))))
+
+    return bound(c, forms)
 
 
 def host(c: Column) -> Column:

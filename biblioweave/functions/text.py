@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +34,11 @@ def _tables() -> tuple[str, str, dict[str, str]]:
 _FROM, _TO, _MANY = _tables()
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it; nested uses would multiply the plan."""
+    return F.get(F.transform(F.array(c), lambda x: f(x)), F.lit(0))
+
+
 def strip_space(c: Column) -> Column:
     """Without white space, of any kind, at both ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -44,12 +50,13 @@ def empty_to_null(c: Column) -> Column:
 
 
 def decomposed(c: Column) -> Column:
-    """Compatibility decomposition without combining marks."""
+    """Compatibility decomposition without combining marks; texts in ASCII, the most of them, are only looked through."""
     out = F.regexp_replace(F.translate(c, _FROM, _TO), r"\p{M}+", "")
-    pairs = out
-    for ch, flat in _MANY.items():
-        pairs = F.replace(pairs, F.lit(ch), F.lit(flat))
-    return F.when(out.rlike("[" + "".join(_MANY) + "]"), pairs).otherwise(out)
+    # one step over a constant array: a call for each pair would make the generated code too large to be compiled
+    table = F.split(F.lit(" ".join(ch + flat for ch, flat in _MANY.items())), " ")
+    pairs = F.aggregate(table, out, lambda acc, p: F.replace(acc, F.substring(p, 1, 1), F.substring(p, 2, 2)))
+    rare = F.when(c.rlike("[" + "".join(_MANY) + "]"), pairs).otherwise(out)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), rare).otherwise(c)
 
 
 def normalize_text(c: Column) -> Column:

@@ -165,8 +165,9 @@ def split_top_level(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def name_parts(spark: SparkSession, d: str) -> DataFrame:
     """Names of authors taken apart."""
-    p = names.name_parts(F.col("author_name_raw"))
-    return table(spark, d, "author_occurrence").select("occurrence_id", p["surname_norm"].alias("surname"), p["given_names_norm"].alias("given"), p["initials"].alias("initials"), p["compact_full"].alias("compact"))
+    # taken apart once, then read: a column that is used inline would be computed for each of its fields
+    p = table(spark, d, "author_occurrence").select("occurrence_id", names.name_parts(F.col("author_name_raw")).alias("p"))
+    return p.select("occurrence_id", F.col("p.surname_norm").alias("surname"), F.col("p.given_names_norm").alias("given"), F.col("p.initials").alias("initials"), F.col("p.compact_full").alias("compact"))
 
 
 @_query
