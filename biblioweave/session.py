@@ -11,6 +11,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,8 +36,27 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session, wherever they run; once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root, folder = Path(__file__).resolve().parent, tempfile.mkdtemp(prefix="biblioweave-code-")
+    atexit.register(shutil.rmtree, folder, True)
+    archive = f"{folder}/biblioweave.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"{root.name}/{p.relative_to(root)}")
+    spark.sparkContext.addPyFile(archive)  # Spark's own file server hands it to the executors
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table ``name`` of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
