@@ -373,8 +373,8 @@ def score_texts(docs: DataFrame, row_id: str = "doc_id", keep: tuple[str, ...] =
     return tokens.select(row_id, *keep, "ids", "quoted").mapInPandas(run, f"{schema}, abuse_score double, n_passages int, worst_at int, worst_score double")
 
 
-#: A text is abusive where its best passage would come by chance in fewer than one of so many (as a power of ten).
-ABUSIVE_AT = 6.0
+#: A text is abusive where its best passage would come by chance in fewer than one text in a billion (a power of ten).
+ABUSIVE_AT = 9.0
 
 
 def abusive(scored: DataFrame, at: float = ABUSIVE_AT) -> DataFrame:
