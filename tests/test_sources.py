@@ -90,3 +90,23 @@ def test_stream_upsert_and_resume(spark, tmp_path):
     done(spark.createDataFrame([("1", "x")], "k string, a string"), 0)
     done(spark.createDataFrame([("1", "x"), ("2", "y")], "k string, a string"), 1)
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "vec")).collect()) == ["1", "2"]
+
+
+def test_windowed_counts(spark, tmp_path):
+    import datetime as dt
+
+    src = str(tmp_path / "in")
+    base = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(base + dt.timedelta(minutes=10 * k), "ab"[k % 2]) for k in range(12)], "at timestamp, kind string").write.parquet(src)
+    stream = incremental.new_files(spark, spark.read.parquet(src).schema, src)
+    q = incremental.windowed_counts(stream, "at", ["kind"]).writeStream.format("memory").queryName("wc").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted((r["window_start"].hour, r["kind"], r["n"]) for r in spark.table("wc").collect()) == [(0, "a", 3), (0, "b", 3), (1, "a", 3), (1, "b", 3)]
+
+
+def test_the_package_goes_to_the_workers(spark):
+    from biblioweave.session import ship
+
+    ship(spark)
+    ship(spark)
+    assert any(str(f).endswith("biblioweave.zip") for f in spark.sparkContext.listFiles)
