@@ -48,6 +48,25 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 32) -> None:
         self.spark, self.path, self.buckets = spark, path or new_path(spark, "ledger"), buckets
         self.versions: dict[int, str] = {}  # bucket -> folder of its newest version; at most ``buckets`` entries
+        self.number = 0
+        if path is not None:
+            self._resume()
+
+    def _resume(self) -> None:
+        """Go on with the ledger in the folder: whole versions only, the later ones over the earlier."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return
+        for name in sorted(s.getPath().getName() for s in fs.listStatus(root)):
+            version = jvm.org.apache.hadoop.fs.Path(root, name)
+            if name.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(version, "_SUCCESS")):
+                self.number = int(name[1:7]) + 1
+                for s in fs.listStatus(version):
+                    part = s.getPath().getName()
+                    if part.startswith("bucket="):
+                        self.versions[int(part[7:])] = f"{self.path}/{name}"
 
     SCHEMA = "key binary, copies bigint, keep_id string, first_at timestamp, bucket int"
 
@@ -87,7 +106,8 @@ class Ledger:
                 F.least("a.first_at", "b.first_at").alias("first_at"),
                 F.coalesce("a.bucket", "b.bucket").alias("bucket"),
             )
-        version = f"{self.path}/v{len(set(self.versions.values())):06d}-{new_path(spark, 'x')[-8:]}"
+        version = f"{self.path}/v{self.number:06d}-{new_path(spark, 'x')[-8:]}"
+        self.number += 1
         fresh.repartition(F.col("bucket"), F.pmod(F.xxhash64("key"), F.lit(4))).write.partitionBy("bucket").parquet(version)
         for (b,) in spark.read.schema(self.SCHEMA).parquet(version).select("bucket").distinct().collect():
             self.versions[b] = version

@@ -85,6 +85,9 @@ def test_ledger_batches_add_up(spark):
     led.add(df.where("false"))
     want = {(bytes(k, "ascii"), keys.count(k), f"{keys.index(k):03d}") for k in set(keys)}
     assert {(bytes(r["key"]), r["copies"], r["keep_id"]) for r in led.current().collect()} == want
+    again = ledger.Ledger(spark, led.path, buckets=3)
+    again.add(df.where("row_id < '010'"))
+    assert again.current().agg(F.sum("copies")).first()[0] == 210
 
 
 # 6: components
