@@ -3,9 +3,11 @@
 1. Every record gets a sort key for each of several composites (institution and name, name and subject, given name and
    institution, identifier, mailbox). All keys are sorted together over the cluster; each record is compared with the
    ``window - 1`` before it. Sorted rows get their place in the whole order, and runs of ``run`` places go to one task
-   with the neighbours across the border, so neither a frequent name nor a source can overload a task.
+   with the neighbours across the border, so neither a frequent name nor a source can overload a task. Rows that tie on
+   a key have no order among them: all of them are compared, runs of more than ``CHUNK`` in pairs of chunks.
 2. Weighted similarities of the fields add up to a confidence (``people.evidence``).
-3. Records of one source that are one person form an entity by average linkage. Between each two sources, entities are
+3. Records of one source that are one person form an entity by average linkage. Whatever sure pairs link, directly or
+   through others, is compared whole first, so no average counts a pair that the window left out. Between each two sources, entities are
    assigned one to one so that the total confidence is the largest: pairs without a rival at once, the others by an
    auction in rounds, whose total is within ``EPSILON`` for each assigned entity of the best.
 4. Entities assigned to each other, directly or through a third source, are one person; their pairs of records come out.
@@ -29,6 +31,8 @@ from .components import hash_to_min
 from .spellings import average_linkage
 
 EPSILON = 0.01
+CHUNK = 256
+PAIR = "a string, b string, src_a string, src_b string, sim double"
 
 
 def sort_keys(row: tuple, rarity: people.Rarity) -> list[str]:
@@ -52,9 +56,54 @@ def sort_keys(row: tuple, rarity: people.Rarity) -> list[str]:
     return out
 
 
-def neighbours(feats: DataFrame, window: int = 10, run: int = 4000) -> DataFrame:
+def compared(groups: DataFrame, feats: DataFrame, rarity: people.Rarity) -> DataFrame:
+    """(a, b, src_a, src_b, sim) of all pairs that share a group (g, person_id); pairs may repeat."""
+    cols = [c.split()[0] for c in people.FEATURES.split(", ")]
+    wide = [c for c in cols if c != "name"]
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    dealt = groups.join(groups.groupBy("g").agg(F.count("*").alias("n")), "g").withColumn("chunk", F.pmod(F.xxhash64("person_id", F.lit(5)), chunks).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    dealt = dealt.select("g", "person_id", "chunk", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"))
+    rows = dealt.join(feats.select(*wide), "person_id").withColumn("name", F.lit(None).cast("string"))
+    rows = rows.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi", "person_id")
+
+    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group: list[tuple] = []
+        now = None
+        found: list[tuple] = []
+        seen: set[tuple[str, str]] = set()
+        for b in batches:
+            for g, lo, hi, chunk, row in zip(b["g"], b["lo"], b["hi"], b["chunk"], b[cols].itertuples(index=False, name=None), strict=True):
+                if (g, lo, hi) != now:
+                    group, now = [], (g, lo, hi)
+                marks = people.name_marks(row)
+                for other, old, old_marks in group:
+                    if lo != hi and chunk == other:
+                        continue  # they meet where their chunk meets itself
+                    if old[0] == row[0] or old[6] and row[6] and old[6] != row[6] or not people.maybe_same_name(marks, old_marks):
+                        continue
+                    x, y = (old, row) if old[0] < row[0] else (row, old)
+                    if (x[0], y[0]) in seen:
+                        continue
+                    if len(seen) > 500_000:
+                        seen.clear()  # only saves work: pairs are made distinct later
+                    seen.add((x[0], y[0]))
+                    e = people.evidence(x, y, rarity)
+                    if e > -math.inf:
+                        found.append((x[0], y[0], x[1], y[1], people.confidence(e, rarity)))
+                group.append((chunk, row, marks))
+                if len(found) >= 50_000:
+                    yield pd.DataFrame(found, columns=["a", "b", "src_a", "src_b", "sim"])
+                    found = []
+            yield pd.DataFrame(found, columns=["a", "b", "src_a", "src_b", "sim"])
+            found = []
+
+    return rows.mapInPandas(pair, PAIR).where("sim > 0.01")
+
+
+def neighbours(feats: DataFrame, window: int = 10, run: int = 4000, rarity: people.Rarity | None = None) -> DataFrame:
     """(a, b, src_a, src_b, sim): compared pairs that may be one person, a < b, each once."""
-    rarity = people.count_words(feats)
+    rarity = rarity or people.count_words(feats)
     cols = [c.split()[0] for c in people.FEATURES.split(", ")]
     wide = [c for c in cols if c != "name"]
 
@@ -68,6 +117,9 @@ def neighbours(feats: DataFrame, window: int = 10, run: int = 4000) -> DataFrame
     tall = cut(feats.select(*blank).mapInPandas(keyed, "key string, person_id string"), "sort-keys")
     ordered = tall.repartitionByRange("key", "person_id").sortWithinPartitions("key", "person_id")
     ordered = cut(ordered.select("person_id", F.monotonically_increasing_id().alias("m")), "sorted")
+    # runs of ties that are longer than the window
+    keys = tall.select(F.xxhash64("key").alias("g"), "person_id")
+    tied = cut(keys.join(keys.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > window).select("g"), "g", "left_semi"), "tied")
     drop_cut(tall)
     # the place in the whole order: rows of earlier partitions, then the place within one
     part, inside = F.shiftright("m", 33).cast("int"), F.col("m").bitwiseAND(F.lit((1 << 33) - 1))
@@ -109,7 +161,8 @@ def neighbours(feats: DataFrame, window: int = 10, run: int = 4000) -> DataFrame
                     del recent[0]
             yield pd.DataFrame(found, columns=["a", "b", "src_a", "src_b", "sim"])
 
-    return runs.mapInPandas(compare, "a string, b string, src_a string, src_b string, sim double").where("sim > 0.01").groupBy("a", "b").agg(F.first("src_a").alias("src_a"), F.first("src_b").alias("src_b"), F.max("sim").alias("sim"))
+    near = runs.mapInPandas(compare, PAIR).where("sim > 0.01")
+    return near.unionByName(compared(tied, feats, rarity)).groupBy("a", "b").agg(F.first("src_a").alias("src_a"), F.first("src_b").alias("src_b"), F.max("sim").alias("sim"))
 
 
 def assign(edges: DataFrame, max_rounds: int = 500) -> DataFrame:
@@ -140,11 +193,24 @@ def assign(edges: DataFrame, max_rounds: int = 500) -> DataFrame:
     return alone.unionByName(open_.join(owners.select("a", "b"), ["a", "b"]))
 
 
+def inner_pairs(pairs: DataFrame, feats: DataFrame, rarity: people.Rarity, least: float) -> DataFrame:
+    """(a, b, sim) of all pairs among records of one source that pairs of at least ``least`` link, however indirectly."""
+    sure = pairs.where((F.col("src_a") == F.col("src_b")) & (F.col("sim") >= least)).select("a", "b", "sim")
+    linked = cut(hash_to_min(sure, "a", "b").select(F.col("component").alias("g"), F.col("node").alias("person_id")), "inner")
+    # a component of two is the pair itself
+    large = linked.groupBy("g").agg(F.count("*").alias("n")).where("n > 2").select("g")
+    larger = cut(linked.join(large, "g", "left_semi"), "inner-larger")
+    two = sure.join(larger.select(F.col("person_id").alias("a")), "a", "left_anti")
+    whole = compared(larger, feats, rarity).groupBy("a", "b").agg(F.max("sim").alias("sim"))
+    return two.unionByName(whole)
+
+
 def linked_people(person: DataFrame, least: float = 0.5) -> DataFrame:
     """(person_id_a, person_id_b, confidence) of unmatched records of different sources, smaller id first."""
     feats = cut(people.unmatched_features(person), "people")
-    pairs = cut(neighbours(feats), "neighbours")
-    entities = average_linkage(pairs.where("src_a = src_b").select("a", "b", "sim"), least)
+    rarity = people.count_words(feats)
+    pairs = cut(neighbours(feats, rarity=rarity), "neighbours")
+    entities = average_linkage(inner_pairs(pairs, feats, rarity, least), least)
     across = pairs.where((F.col("src_a") != F.col("src_b")) & (F.col("sim") >= least))
     ea, eb = entities.select(F.col("id").alias("a"), F.col("cluster").alias("ea")), entities.select(F.col("id").alias("b"), F.col("cluster").alias("eb"))
     named = across.join(ea, "a", "left").join(eb, "b", "left").select("src_a", "src_b", F.coalesce("ea", "a").alias("ea"), F.coalesce("eb", "b").alias("eb"), "sim")

@@ -243,6 +243,13 @@ def test_cross_links(spark):
     assert crosslink.linked_people(df.where("false")).count() == 0
 
 
+def test_ties_are_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(crosslink, "CHUNK", 16)
+    same = [person(f"{src}{k:02d}", "Katherine Marvikova", src, orcid="0000-0001-2345-6789", aff="Brunholm University") for src in "st" for k in range(30)]
+    got = {(a, b) for a, b, _ in rows(crosslink.linked_people(spark.createDataFrame([*same, *crowd(40, "s"), *crowd(40, "t")], PERSON))) if not a.startswith("x")}
+    assert got == {(f"s{i:02d}", f"t{j:02d}") for i in range(30) for j in range(30)}
+
+
 def test_windows_cross_task_borders(spark):
     data = [person(f"w{k:03d}", f"Ana Marviko{'abcdefghij'[k % 10]}", "st"[k % 2], aff="Brunholm University") for k in range(60)]
     feats = people.unmatched_features(spark.createDataFrame(data, PERSON)).cache()
