@@ -8,8 +8,9 @@
 2. Weighted similarities of the fields add up to a confidence (``people.evidence``).
 3. Records of one source that are one person form an entity by average linkage. Whatever sure pairs link, directly or
    through others, is compared whole first, so no average counts a pair that the window left out. Between each two sources, entities are
-   assigned one to one so that the total confidence is the largest: pairs without a rival at once, the others by an
-   auction in rounds, whose total is within ``EPSILON`` for each assigned entity of the best.
+   assigned one to one so that the total confidence is the largest: pairs without a rival at once, those of a component
+   of at most ``MOST`` pairs exactly, by shortest augmenting paths, and those of larger ones by an auction that runs
+   until nobody bids, whose total is within ``EPSILON`` for each assigned entity of the best.
 4. Entities assigned to each other, directly or through a third source, are one person; their pairs of records come out.
 
 Defined cases: rows without any name are compared by their other fields only if an alias exists; an empty source list is
@@ -18,6 +19,7 @@ a source of its own; repeated rows count once; an empty table gives no rows; tie
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
@@ -31,6 +33,7 @@ from .components import hash_to_min
 from .spellings import average_linkage
 
 EPSILON = 0.01
+MOST = 20_000
 CHUNK = 256
 PAIR = "a string, b string, src_a string, src_b string, sim double"
 
@@ -165,17 +168,90 @@ def neighbours(feats: DataFrame, window: int = 10, run: int = 4000, rarity: peop
     return near.unionByName(compared(tied, feats, rarity)).groupBy("a", "b").agg(F.first("src_a").alias("src_a"), F.first("src_b").alias("src_b"), F.max("sim").alias("sim"))
 
 
-def assign(edges: DataFrame, max_rounds: int = 500) -> DataFrame:
+def best_assignment(edges: list[tuple[str, str, float]]) -> list[tuple[str, str, float]]:
+    """The (a, b, v) of the assignment with the largest total, by shortest augmenting paths; an a may stay alone for 0."""
+    top = max((v for *_, v in edges), default=0.0)
+    out: dict[str, list[tuple[tuple[int, str], float]]] = {}
+    value: dict[tuple[str, str], float] = {}
+    for a, b, v in sorted(edges):
+        out.setdefault(a, []).append(((1, b), top - v))
+        value[a, b] = v
+    price_a: dict[str, float] = {}
+    price_b: dict[tuple[int, str], float] = {}
+    owner: dict[tuple[int, str], str] = {}
+    held: dict[str, tuple[int, str]] = {}
+    for a in out:
+        out[a].append(((0, a), top))  # its place for staying alone
+        price_a[a] = 0.0
+        dist: dict[tuple[int, str], float] = {}
+        back: dict[tuple[int, str], str] = {}
+        done: list[tuple[int, str]] = []
+        closed: set[tuple[int, str]] = set()
+        heap: list[tuple[float, tuple[int, str]]] = []
+        row, base = a, 0.0
+        while True:
+            for place, cost in out[row]:
+                d = base + cost - price_a[row] - price_b.get(place, 0.0)
+                if place not in closed and d < dist.get(place, math.inf):
+                    dist[place], back[place] = d, row
+                    heapq.heappush(heap, (d, place))
+            d, place = heapq.heappop(heap)
+            while place in closed:
+                d, place = heapq.heappop(heap)
+            if place not in owner:
+                break
+            closed.add(place)
+            done.append(place)
+            row, base = owner[place], d
+        price_a[a] += d
+        for x in done:
+            price_a[owner[x]] += d - dist[x]
+            price_b[x] = price_b.get(x, 0.0) - (d - dist[x])
+        while True:
+            row = back[place]
+            owner[place] = row
+            place, held[row] = held.get(row), place
+            if row == a:
+                break
+    return [(a, b, value[a, b]) for a, (real, b) in sorted(held.items()) if real]
+
+
+def assign(edges: DataFrame) -> DataFrame:
     """(a, b, v) of the assignment of each a to at most one b, and of each b to one a, with the largest total v > 0."""
     edges = cut(edges.where("v > 0").groupBy("a", "b").agg(F.max("v").alias("v")), "assign")
     rivals_a = edges.groupBy("a").agg(F.count("*").alias("n_a"))
     rivals_b = edges.groupBy("b").agg(F.count("*").alias("n_b"))
     counted = cut(edges.join(rivals_a, "a").join(rivals_b, "b"), "assign-counted")
     alone = counted.where("n_a = 1 and n_b = 1").select("a", "b", "v")
-    open_ = counted.where("n_a > 1 or n_b > 1").select("a", "b", "v")
-    owners = cut(open_.sparkSession.createDataFrame([], "b string, a string, price double"), "assign-owners")
-    for _ in range(max_rounds):
-        priced = open_.join(owners.select("b", "price"), "b", "left").withColumn("net", F.col("v") - F.coalesce("price", F.lit(0.0)))
+    rivals = counted.where("n_a > 1 or n_b > 1").select("a", "b", "v")
+    # the sides are told apart, as an a may be named like a b
+    parts = hash_to_min(rivals.select(F.concat(F.lit("a"), "a").alias("a"), F.concat(F.lit("b"), "b").alias("b")), "a", "b")
+    parted = cut(rivals.join(parts.where("node like 'a%'").select(F.expr("substr(node, 2)").alias("a"), "component"), "a"), "assign-parted")
+    sizes = parted.groupBy("component").agg(F.count("*").alias("n"))
+    small = parted.join(sizes.where(F.col("n") <= MOST).select("component"), "component", "left_semi").repartition("component").sortWithinPartitions("component")
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, group = None, []
+        for batch in batches:
+            found = []
+            for c, *edge in batch[["component", "a", "b", "v"]].itertuples(index=False, name=None):
+                if c != now:
+                    found += best_assignment(group)
+                    now, group = c, []
+                group.append(tuple(edge))
+            yield pd.DataFrame(found, columns=["a", "b", "v"])
+        yield pd.DataFrame(best_assignment(group), columns=["a", "b", "v"])
+
+    solved = small.mapInPandas(solve, "a string, b string, v double")
+    large = cut(parted.join(sizes.where(F.col("n") > MOST).select("component"), "component", "left_semi").select("a", "b", "v"), "assign-large")
+    return alone.unionByName(solved).unionByName(auction(large))
+
+
+def auction(edges: DataFrame) -> DataFrame:
+    """What ``assign`` gives, but for ``EPSILON`` for each assigned a. Every bid raises a price, so it ends."""
+    owners = cut(edges.sparkSession.createDataFrame([], "b string, a string, price double"), "assign-owners")
+    while True:
+        priced = edges.join(owners.select("b", "price"), "b", "left").withColumn("net", F.col("v") - F.coalesce("price", F.lit(0.0)))
         bidders = priced.join(owners.select("a"), "a", "left_anti").where("net > 0")
         order = Window.partitionBy("a").orderBy(F.desc("net"), "b")
         top = bidders.withColumn("r", F.row_number().over(order)).withColumn("second", F.coalesce(F.lead("net").over(order), F.lit(0.0))).where("r = 1")
@@ -188,9 +264,7 @@ def assign(edges: DataFrame, max_rounds: int = 500) -> DataFrame:
         drop_cut(owners)
         drop_cut(won)
         owners = after
-    else:
-        raise RuntimeError(f"the auction still runs after {max_rounds} rounds")
-    return alone.unionByName(open_.join(owners.select("a", "b"), ["a", "b"]))
+    return edges.join(owners.select("a", "b"), ["a", "b"])
 
 
 def inner_pairs(pairs: DataFrame, feats: DataFrame, rarity: people.Rarity, least: float) -> DataFrame:

@@ -195,6 +195,23 @@ def test_assignment_is_one_to_one_and_best(spark):
     assert sum(v for *_, v in got) >= best - 6 * crosslink.EPSILON - 1e-9
 
 
+def test_many_equal_copies_become_one_cluster(spark):
+    pairs = [(f"c{i:02d}", f"c{j:02d}", 0.9) for i in range(70) for j in range(i + 1, 70)]
+    assert rows(spellings.average_linkage(spark.createDataFrame(pairs, "a string, b string, sim double"))) == [(f"c{i:02d}", "c00") for i in range(70)]
+
+
+def test_equal_rivals_share_the_places(spark):
+    edges = [(f"a{i}", f"b{j}", 0.9) for i in range(10) for j in range(9)]
+    got = rows(crosslink.assign(spark.createDataFrame(edges, "a string, b string, v double")))
+    assert len({a for a, *_ in got}) == 9 == len({b for _, b, _ in got})
+
+
+def test_auction_takes_what_is_too_large(spark, monkeypatch):
+    monkeypatch.setattr(crosslink, "MOST", 3)
+    edges = [("a", "x", 0.9), ("a", "y", 0.8), ("b", "x", 0.85), ("b", "y", 0.1), ("c", "c", 0.3)]
+    assert rows(crosslink.assign(spark.createDataFrame(edges, "a string, b string, v double"))) == [("a", "y", 0.8), ("b", "x", 0.85), ("c", "c", 0.3)]
+
+
 PERSON = "person_id string, canonical_person_id string, name_original string, name_aliases array<string>, orcid string, primary_email string, current_affiliation string, affiliations array<string>, subjects array<string>, keywords array<string>, h_index int, total_citations int, country string, source_systems array<string>, key string"
 
 
