@@ -244,7 +244,7 @@ def bulk_ndjson(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def embed_text(spark: SparkSession, d: str) -> DataFrame:
     """Text for embedding of each publication."""
-    t = text.embedding_text(F.col("title"), F.col("abstract"), [("Author keywords", F.col("author_keywords")), ("Keywords plus", F.col("keywords_plus"))], 600)
+    t = text.embedding_text(F.col("title"), F.col("abstract"), [("Author keywords", F.col("author_keywords")), ("Keywords plus", F.col("keywords_plus"))])
     return table(spark, d, "publication").select("publication_id", t.alias("embedding_text"))
 
 

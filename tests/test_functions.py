@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from biblioweave.functions import ids, names, places, text
+from biblioweave.plans import registry
 
 
 def one(spark, value, expr, kind="string"):
@@ -139,3 +140,10 @@ def test_embedding_text(spark):
     assert len(got[0]) <= 200
     assert got[0].startswith("Title: T") and got[0].endswith("Keywords: k1; k2")
     assert got[1] is None
+
+
+def test_embed_text_query_keeps_whole_abstracts(spark, tmp_path):
+    row = [("p", "T", "a" * 5000, "k1", None)]
+    spark.createDataFrame(row, "publication_id string, title string, abstract string, author_keywords string, keywords_plus string").write.parquet(f"{tmp_path}/publication.parquet")
+    got = registry.queries()["embed_text"](spark, str(tmp_path)).first()["embedding_text"]
+    assert got == "Title: T\nAbstract: " + "a" * 5000 + "\nAuthor keywords: k1"
