@@ -84,9 +84,10 @@ def institution_aliases(c: Column) -> Column:
 
 
 def host(c: Column) -> Column:
-    """The host of an address of a page or mailbox, in lower case without ``www.``."""
-    t = F.regexp_replace(F.lower(strip_space(c)), r"^[a-z][a-z0-9+.-]*://", "")
-    t = F.regexp_replace(F.regexp_replace(t, r"^[^@/]*@", ""), r"[/?#:].*$", "")
+    """The host of an address of a page or mailbox, in lower case without ``www.``, brackets, quotes and what follows them."""
+    t = F.regexp_replace(F.lower(strip_space(c)), r"(?U)^[\s\"'(\[<]+", "")
+    t = F.regexp_replace(t, r"^[a-z][a-z0-9+.-]*://", "")
+    t = F.regexp_replace(F.regexp_replace(t, r"^[^@/]*@", ""), r"(?Us)[/?#:\s<>()\[\]\"',;].*$", "")
     return empty_to_null(F.regexp_replace(F.regexp_replace(t, r"^www\.", ""), r"^\.+|\.+$", ""))
 
 

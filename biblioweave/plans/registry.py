@@ -191,13 +191,21 @@ def orcid_extract(spark: SparkSession, d: str) -> DataFrame:
 
 @_query
 def registrable_domain(spark: SparkSession, d: str) -> DataFrame:
-    """Domains of mailboxes and of ranked universities."""
+    """Domains of plain lower-case addresses, as its SQL has it; registrable_domain_whole takes all."""
     p = table(spark, d, "person").select(F.col("primary_email").alias("address"))
     q = table(spark, d, "qs_university").select(F.col("website").alias("address"))
     both = p.unionByName(q).where(F.col("address").rlike(r"^[a-z0-9:/._@-]+$"))
     return both.groupBy(places.registrable_domain(F.col("address")).alias("domain")).agg(F.count("*").alias("n")).where(F.col("domain").isNotNull())
 
 
+@_query
+def registrable_domain_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Domains of all addresses of mailboxes and ranked universities, also wrapped, padded and upper-case ones (no SQL; tested on a fixture)."""
+    p = table(spark, d, "person").select(F.col("primary_email").alias("address"))
+    both = p.unionByName(table(spark, d, "qs_university").select(F.col("website").alias("address")))
+    return both.groupBy(places.registrable_domain(F.col("address")).alias("domain")).agg(F.count("*").alias("n")).where(F.col("domain").isNotNull())
+
+
 @_query
 def institution_country(spark: SparkSession, d: str) -> DataFrame:
     """Institution and country of addresses as typed."""

@@ -147,3 +147,10 @@ def test_embed_text_query_keeps_whole_abstracts(spark, tmp_path):
     spark.createDataFrame(row, "publication_id string, title string, abstract string, author_keywords string, keywords_plus string").write.parquet(f"{tmp_path}/publication.parquet")
     got = registry.queries()["embed_text"](spark, str(tmp_path)).first()["embedding_text"]
     assert got == "Title: T\nAbstract: " + "a" * 5000 + "\nAuthor keywords: k1"
+
+
+def test_registrable_domain_query_takes_all_addresses(spark, tmp_path):
+    mails = ["Ana <a+b@Mail.Uni.ac.uk>", " X@UNI.AC.UK ", "mailto:c@uni.ac.uk", "(d@uni.ac.uk)", "e@uni.ac.uk; f@other.org", "g@uni.ac.uk", "none", None]
+    spark.createDataFrame([(m,) for m in mails], "primary_email string").write.parquet(f"{tmp_path}/person.parquet")
+    spark.createDataFrame([("HTTPS://www.Uni.ac.uk/x",)], "website string").write.parquet(f"{tmp_path}/qs_university.parquet")
+    assert [tuple(r) for r in registry.queries()["registrable_domain_whole"](spark, str(tmp_path)).collect()] == [("uni.ac.uk", 7)]
