@@ -54,13 +54,17 @@ def block_keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", F.explode(F.array_compact(keys)).alias("key")).distinct()
 
 
-def blocked_pairs(keys: DataFrame, most: int = 200) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b, keys) of nodes that share a block of at most ``most``, and the larger blocks (key, n) left out."""
+def blocked_pairs(keys: DataFrame, most: int | None = 200) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b, keys) of nodes that share a block of at most ``most``, and the larger blocks (key, n) left out.
+
+    None pairs all blocks: the work in one grows with its square, and the join splits it over tasks.
+    """
     sizes = keys.groupBy("key").agg(F.count("*").alias("n"))
-    usable = keys.join(sizes.where((F.col("n") > 1) & (F.col("n") <= most)).select("key"), "key", "left_semi")
+    large = F.col("n") > most if most is not None else F.lit(False)
+    usable = keys.join(sizes.where((F.col("n") > 1) & ~large).select("key"), "key", "left_semi")
     l, r = usable.select("key", F.col("node").alias("a")), usable.select("key", F.col("node").alias("b"))
     pairs = l.join(r, "key").where("a < b").groupBy("a", "b").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    return pairs, sizes.where(F.col("n") > most)
+    return pairs, sizes.where(large)
 
 
 def decided_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:

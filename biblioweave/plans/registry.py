@@ -420,14 +420,32 @@ def star_edges(spark: SparkSession, d: str) -> DataFrame:
     return graph.star_edges(table(spark, d, "person").select("person_id", names.orcid(F.col("orcid")).alias("key")), "person_id", "key")
 
 
+def _person_keys(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "person").select(F.col("person_id").alias("node"), F.explode(F.array(F.concat(F.lit("n|"), "name_norm"), F.concat(F.lit("o|"), names.orcid(F.col("orcid"))))).alias("key"))
+    return p.where(F.col("key").isNotNull()).distinct()
+
+
 @_query
 def blocked_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of persons that share a block of at most 50, with the blocks."""
-    p = table(spark, d, "person").select(F.col("person_id").alias("node"), F.explode(F.array(F.concat(F.lit("n|"), "name_norm"), F.concat(F.lit("o|"), names.orcid(F.col("orcid"))))).alias("key"))
-    pairs, _ = matching.blocked_pairs(p.where(F.col("key").isNotNull()).distinct(), most=50)
+    """Pairs of persons that share a block of at most 50, as its SQL has it; blocked_pairs_whole has all."""
+    pairs, _ = matching.blocked_pairs(_person_keys(spark, d), most=50)
     return pairs.select("a", "b", F.array_join("keys", ",").alias("keys"))
 
 
+@_query
+def blocked_pairs_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of persons that share a block of any size, with the blocks (no SQL; tested on a fixture)."""
+    pairs, _ = matching.blocked_pairs(_person_keys(spark, d), most=None)
+    return pairs.select("a", "b", F.array_join("keys", ",").alias("keys"))
+
+
+@_query
+def skipped_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The blocks of more than 200 that pair_decisions and cluster_fold leave out, with their sizes (no SQL; tested on a fixture)."""
+    _, large = matching.blocked_pairs(matching.block_keys(matching.nodes_of_persons(table(spark, d, "person"))))
+    return large
+
+
 @_query
 def pair_decisions(spark: SparkSession, d: str) -> DataFrame:
     """Decisions on all blocked pairs of persons (no SQL; tested on a fixture)."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from biblioweave.operators import evidence, graph, lookup, matching, profile, search, survivorship, vectors
 from biblioweave.operators.packed_fields import parse, split_packed
-from biblioweave.plans import silver
+from biblioweave.plans import registry, silver
 from biblioweave.plans.registry import group, rule
 
 
@@ -215,6 +215,14 @@ def test_decisions_and_clusters(spark):
     assert big.count() >= 1
 
 
+def test_large_blocks_are_paired_or_reported(spark, tmp_path):
+    persons(spark, *[(f"{i:03d}", "Wang, Li", "0000-0000-0000-0000", None, "X") for i in range(210)]).withColumn("name_norm", F.lit(None).cast("string")).write.parquet(f"{tmp_path}/person.parquet")
+    q = registry.queries()
+    assert q["blocked_pairs"](spark, str(tmp_path)).count() == 0
+    assert q["blocked_pairs_whole"](spark, str(tmp_path)).count() == 210 * 209 // 2
+    assert rows(q["skipped_blocks"](spark, str(tmp_path))) == [("compact:wangli", 210), ("sigcountry:wang|l|x", 210)]
+
+
 def test_clusters_do_not_depend_on_order(spark):
     df = persons(spark, *[(str(i), f"Name{i % 4}, A", None, f"Inst{i % 3}", "X") for i in range(24)])
     a = rows(matching.cluster_persons(df)[0].select("canonical_person_id", "cluster_size"))
