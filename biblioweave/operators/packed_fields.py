@@ -34,7 +34,7 @@ DELIMITERS = {
 }
 #: Bits for naming a delimiter: common ones are cheap; each further one costs as much again, and 3 more.
 DELIMITER_BITS = {";": 1, ",": 2, "|": 2, " / ": 3, "tab": 3, "line": 3, "；": 3, "，": 4, "、": 4, "·": 4, "/": 6}
-NO_QUOTES_BITS, KEEP_WRAP_BITS, MANY = 4, 4, 6
+NO_QUOTES_BITS, KEEP_WRAP_BITS = 4, 4
 QUOTED = r'"((?:[^"]|"")*)"|“([^”]*)”|\'((?:[^\']|\'\')*)\'|‘([^’]*)’|«([^»]*)»'
 BRACKETS = {"[": "]", "(": ")", "{": "}"}
 QUOTES = {'"': '"', "“": "”", "'": "'", "‘": "’", "«": "»"}
@@ -100,9 +100,8 @@ def parses(text: str) -> list[tuple[float, list[str]]]:
         if body is None:
             continue
         here = [d for d, p in _FOUND.items() if p.search(body)]
-        sizes = range(len(here) + 1) if len(here) <= MANY else (0, 1, 2, len(here) - 2, len(here) - 1, len(here))
         kept = 0 if wrap or _unwrapped(text) is None else KEEP_WRAP_BITS
-        for n in sizes:
+        for n in range(len(here) + 1):
             for ds in combinations(here, n):
                 bits = kept + sum(DELIMITER_BITS[d] for d in ds) + 3 * max(0, n - 1)
                 for quotes in (True, False) if any(q in body for q in "\"“'‘«") else (True,):

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from biblioweave.operators import evidence, graph, lookup, matching, profile, search, survivorship, vectors
-from biblioweave.operators.packed_fields import parse, split_packed
+from biblioweave.operators.packed_fields import parse, parses, split_packed
 from biblioweave.plans import registry, silver
 from biblioweave.plans.registry import group, rule
 
@@ -49,6 +49,11 @@ def test_split_packed_finds_dialects(spark):
     assert ("s", "k", 1, "gamma") in set(rows(split_packed(df, "id", ["k"])))
 
 
+def test_all_sets_of_many_delimiters_are_parsed():
+    text = "a, b; c、d|e；f，g·h"
+    assert ["a, b", "c、d", "e", "f，g·h"] in [items for _, items in parses(text)]
+
+
 def test_split_packed_wrapped_and_empty(spark):
     df = spark.createDataFrame([(str(i), t) for i, t in enumerate(['["gamma", "alpha beta"]', '"gamma; alpha beta; epsilon"', "; gamma;; epsilon ;", "gamma; alpha beta", "epsilon; gamma", "alpha beta; gamma"])], "id string, k string")
     got = {}
