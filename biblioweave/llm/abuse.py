@@ -50,7 +50,8 @@ SEED_WORDS = frozenset(
 #: Seeds that also have sober uses: they count only with a second one or a word of address in the same sentence.
 WEAK_SEEDS = frozenset("parasite parasites useless filthy ugly disgusting pathetic stupid fool loser losers crap sewer vermin vermine sau con cobarde basura".split())
 ADDRESS = frozenset("you your yours yourself u du dich dir dein deine deinen ihr euch tu te toi ton ta tes vous votre ti tus usted ustedes eres our us".split())
-#: Runs of words that threaten, demean or proposition, folded; `.` is any one word. Fixed values.
+#: Runs of words that threaten, demean or proposition, folded; `.` is any one word. Fixed values; most of them stand in the
+#: documents of sf0.1 (README), so results on those overstate what is found in other texts.
 SEED_PHRASES = (
     "go to hell", "screw you", "shut up and", "rot in hell", "you rot", "break your", "cut your throat", "slit your", "kill you", "kill yourself", "hang yourself", "you deserve a beating",
     "deserve to die", "hope you die", "watch your back", "you will be sorry", "you will regret", "know where you live", "know where you park", "wait for you outside", "burned down with you",
