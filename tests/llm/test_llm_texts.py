@@ -139,6 +139,42 @@ def test_disguises():
     assert abuse.sentences("") == [] and abuse.sentences(" \n ") == []
 
 
+def test_quotations_of_any_length():
+    def own(text):
+        return [w for words, quoted in abuse.sentences(text) for w, q in zip(words, quoted, strict=True) if not q]
+
+    assert "idiot" not in own('He wrote "I read it. You are an idiot and a moron. Go home." and left.')
+    assert "idiot" not in own("They quote: “" + "long words here. " * 100 + "you idiot.” We analyse it.")
+    assert "idiot" not in own("One «line\nand you idiot» more.") and "idiot" not in own("„Du idiot“, stand da.")
+    assert "idiot" in own('An inch is 2.54 cm or 1" long. You idiot!') and "idiot" in own("The authors' view is wrong, you idiot. That's all.")
+    assert "idiot" in own('An opening "mark that is never closed, you idiot.') and "idiot" not in own("<p class='" + "x" * 500 + " idiot'>text</p>")
+
+
+def test_seeds_are_single_words():
+    assert all(w.isalpha() for w in abuse.SEED_WORDS) and abuse.WEAK_SEEDS <= abuse.SEED_WORDS and len(abuse.SEED_WORDS) <= 200
+
+
+def test_company_teaches_words_that_are_no_seeds(spark):
+    rnd = random.Random(3)
+    topics = [f"topic{i}" for i in range(40)]
+    data, hidden = [], set()
+    for i in range(3000):
+        parts = [f"We measured {rnd.choice(topics)} near {rnd.choice(topics)} again." for _ in range(rnd.randint(2, 5))]
+        kind = i % 30
+        if kind in (0, 1):
+            parts.append(rnd.choice(["Only an idiot writes this.", "You are a moron."]))
+        if kind in (0, 2):  # no word of it is a seed
+            parts.append(f"Crocodiles will chew your {rnd.choice(['knees', 'elbows'])} tonight.")
+            if kind == 2:
+                hidden.add(i)
+        rnd.shuffle(parts)
+        data.append((i, " ".join(parts), "a", "en"))
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string, lang string")
+    got = {r["doc_id"] for r in abuse.abusive(abuse.score_texts(df)).collect()}
+    assert len(got & hidden) >= 0.9 * len(hidden)
+    assert all(i % 30 in (0, 1, 2) for i in got)
+
+
 def test_score_texts(spark):
     rnd = random.Random(6)
     sober = ["The samples were measured twice.", "We thank the reviewers for their time.", "Results depend on the local setting.", "The idiom is used in this region.", "You can find the data online.", "No effect was found in the second trial."]
