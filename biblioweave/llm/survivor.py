@@ -2,13 +2,16 @@
 
 A record is *dominated* when another of its group is at least as complete, as recent and as trusted, and better in one
 of them. The undominated records are the first layer, those undominated once the first is gone the second, and so on.
-The survivor is the first layer's best by the lexicographic policy (trust, recency, completeness, smallest id); every
-field it lacks is filled from the next layers that have it, by the same policy.
+The survivor is the first layer's best by the lexicographic policy (trust, recency, completeness, smallest id). Each field
+takes its value from the skyline of the records whose value is usable there: what is left undominated once the records that
+lack the field are peeled off, so a null of the survivor is filled from the layers behind it; of that skyline the policy
+picks one. The layer that each value came from, counted over all records, is reported beside it.
 
 A group may hold a third of all rows, so it is never gathered. Among the rows that have the same usable fields and the
 same trust, only the latest can supply a value: it dominates the others and has every field that they have. The first
 aggregation therefore keeps one champion for each (group, set of usable fields, trust), at most ``2 ** (fields + 1)``
-rows, with partial aggregation before the shuffle. Layers are counted over the champions inside one array expression.
+rows, with partial aggregation before the shuffle. Skylines and layers are found over the champions inside one array
+expression; a skyline over them is that over all records, layers count the records that a champion stands for as one.
 
 Defined cases: null group ids drop out; null recency counts as the earliest; a null trust as untrusted; repeated rows
 count once; ties go to the smaller id; a group of one id gives no row where ``min_ids`` is 2; an empty table gives none.
@@ -57,6 +60,17 @@ def champions(df: DataFrame, group: str, row_id: str, recency: str, trust: Colum
     )
 
 
+def dominates(a: Column, b: Column) -> Column:
+    """True where champion ``a`` is no worse than ``b`` in trust, recency and completeness, and better in one of them."""
+    no_worse = (a["distrust"] <= b["distrust"]) & (a["age"] <= b["age"]) & (a["lack"] <= b["lack"])
+    return no_worse & ((a["distrust"] < b["distrust"]) | (a["age"] < b["age"]) | (a["lack"] < b["lack"]))
+
+
+def skyline(cs: Column) -> Column:
+    """The champions of an array that no other of it dominates, in its order."""
+    return F.filter(cs, lambda x: ~F.exists(cs, lambda y: dominates(y, x)))
+
+
 def layered(champs: DataFrame, n_fields: int, min_ids: int) -> DataFrame:
     """One row for each group with ``cs``: its champions in order of the policy, each with its layer (from 1)."""
     member = F.struct(
@@ -71,10 +85,6 @@ def layered(champs: DataFrame, n_fields: int, min_ids: int) -> DataFrame:
     if min_ids > 1:
         groups = groups.where(F.col("lo") != F.col("hi"))
 
-    def dominates(a: Column, b: Column) -> Column:
-        no_worse = (a["distrust"] <= b["distrust"]) & (a["age"] <= b["age"]) & (a["lack"] <= b["lack"])
-        return no_worse & ((a["distrust"] < b["distrust"]) | (a["age"] < b["age"]) | (a["lack"] < b["lack"]))
-
     # In order of the policy a record comes after all that dominate it, so one pass finds the layers.
     start = F.expr("cast(array() as array<int>)")
     cs = F.col("cs")
@@ -98,14 +108,12 @@ def survivors(df: DataFrame, group: str, row_id: str, recency: str, trust: Colum
     names = list(fields)
     base = layered(champions(df, group, row_id, recency, trust, fields), len(names), min_ids)
     out: list[Column] = [F.col("_g").alias(group), F.get(F.col("cs"), F.lit(0))["id"].alias("survivor_id")]
-    cs = F.zip_with("cs", "layers", lambda c, depth: F.struct(c.alias("c"), depth.alias("layer")))
-    base = base.withColumn("z", cs)
+    base = base.withColumn("z", F.zip_with("cs", "layers", lambda c, depth: F.struct(*[c[f].alias(f) for f in ("distrust", "age", "lack", "id", "mask", "v")], depth.alias("layer"))))
     for k, name in enumerate(names):
-        # The earliest in the policy's order among those with the value: nothing usable dominates it, so it also is
-        # the best of the first layer of the usable records.
         bit = F.lit(1 << k)
-        hit = F.get(F.filter(F.col("z"), lambda z: z["c"]["mask"].bitwiseAND(bit) != 0), F.lit(0))  # noqa: B023
-        out += [hit["c"]["v"][f"_v{k}"].alias(name), hit["c"]["id"].alias(f"{name}_from"), hit["layer"].alias(f"{name}_layer")]
+        usable = F.filter(F.col("z"), lambda z: z["mask"].bitwiseAND(bit) != 0)  # noqa: B023
+        hit = F.get(skyline(usable), F.lit(0))  # the array is in the policy's order
+        out += [hit["v"][f"_v{k}"].alias(name), hit["id"].alias(f"{name}_from"), hit["layer"].alias(f"{name}_layer")]
     return base.select(*out)
 
 

@@ -23,7 +23,7 @@ P1 = "canonical_person_id string, person_id string, updated_at timestamp, source
 
 
 def p1_brute(data, trusted):
-    """(group, field, id) by sorting."""
+    """(group, field, id) from the skyline of all raw records that are usable in a field, the policy choosing among it."""
     out = set()
     groups = {}
     for r in set((r[0], r[1], r[2], tuple(r[3]), *r[4:]) for r in data if r[0] is not None):
@@ -39,8 +39,10 @@ def p1_brute(data, trusted):
         }
         for f, us in usable.items():
             if us:
-                best = min(us, key=lambda r: (r[3][0] not in trusted, -(r[2].timestamp() if r[2] else -1e12), -sum(r in u for u in usable.values()), r[1]))
-                out.add((g, f, best[1]))
+                marks = {r: (r[3][0] in trusted, r[2].timestamp() if r[2] else -1e12, sum(r in u for u in usable.values())) for r in us}
+                best = [r for r in us if not any(all(x >= y for x, y in zip(marks[o], marks[r], strict=True)) and marks[o] != marks[r] for o in us)]
+                chosen = max(best, key=lambda r: (*marks[r], [-ord(c) for c in r[1]]))
+                out.add((g, f, chosen[1]))
     return out
 
 
@@ -60,6 +62,18 @@ def test_survivors_against_brute_force(spark):
     assert survivor.person_survivors(df.where("false"), ref).count() == 0
 
 
+def test_nulls_are_filled_from_layers_behind(spark):
+    day = lambda n: dt.datetime(2020, 1, n)
+    data = [
+        ("g", "w", day(20), ["s"], None, "Uni", "DE", None, None, "", ""), ("g", "x", day(15), ["s"], "x@b.org", None, None, None, None, "", ""),
+        ("g", "y", day(10), ["s"], "y@b.org", "Uni", "DE", 5, 20, "", ""), ("g", "z", day(28), ["t"], "z@b.org", "Uni", "DE", 7, 20, "", ""),
+    ]
+    ref = spark.createDataFrame([("s", True, ""), ("t", False, "")], "source_system string, is_trusted boolean, note string")
+    r = survivor.person_survivors(spark.createDataFrame(data, P1), ref).first()
+    assert (r["survivor_id"], r["country_from"], r["primary_email_from"], r["h_index_from"]) == ("w", "w", "x", "y")
+    assert (r["country_layer"], r["primary_email_layer"], r["h_index_layer"]) == (1, 2, 1)
+
+
 # 2: ledger
 
 
