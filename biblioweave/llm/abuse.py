@@ -137,7 +137,13 @@ def sentences(text: str) -> list[tuple[list[str], list[bool]]]:
     out, inside = [], False
     for sentence in _SENTENCE.split(text):
         words, quoted = [], []
-        for chunk in _SPACED.sub(_joined, sentence).split():
+        spaced = _SPACED.sub(_joined, sentence)
+        marked = "\ue000" in spaced or "\ue001" in spaced
+        if not marked:
+            for chunk in spaced.split():
+                words += words_of(chunk)
+            quoted = [inside] * len(words)
+        for chunk in spaced.split() if marked else ():
             for piece in re.split("([\ue000\ue001])", chunk):
                 if piece in ("\ue000", "\ue001"):
                     inside = piece == "\ue000"
