@@ -252,13 +252,27 @@ def test_spellings(spark):
     assert spellings.spelled_differently(df.where("false")).count() == 0
 
 
-def test_hot_postings_are_compared_whole(spark, monkeypatch):
-    monkeypatch.setattr(spellings, "CHUNK", 4)
-    data = [person(f"h{k:02d}", f"Ana Marvikov{'abcdefghijklmnopqrst'[k]}", aff="Brunholm University", mail="lab.x@brunholm.example") for k in range(20)]
-    feats = spellings.posted_features(spark.createDataFrame(data, PERSON))
-    pairs = {(a, b) for a, b, _ in rows(spellings.similar_pairs(feats, 0.0))}
-    monkeypatch.setattr(spellings, "CHUNK", 1000)
-    assert pairs == {(a, b) for a, b, _ in rows(spellings.similar_pairs(feats, 0.0))} and len(pairs) == 190
+def test_cosine_join_finds_all_pairs(spark):
+    hot = [person(f"h{k:02d}", f"Ana Marvikov{'abcdefghijklmnopqrst'[k]}", aff="Brunholm University", mail="lab.x@brunholm.example") for k in range(20)]
+    mixed = [person(f"m{k:02d}", f"{'Ana Berta Carla'.split()[k % 3]} {'Zundek Zundeck Wolmar Wolmer'.split()[k % 4]}", "st"[k % 2], aff=f"{'Brunholm Tessen'.split()[k // 2 % 2]} University", orcid=f"0000-0001-23{k % 5}5-678{k % 7}") for k in range(40)]
+    feats = people.unmatched_features(spark.createDataFrame([*hot, *mixed, *crowd(30), person("n", None)], PERSON)).cache()
+    counts = spellings.count_all(feats)
+    data = [tuple(r) for r in feats.collect()]
+
+    def cosine(x, y, f, c):
+        (u, lu), (v, lv) = spellings.unit(f(x), c, counts.records), spellings.unit(f(y), c, counts.records)
+        return sum(w * w for k, w in u.items() if k in v) / (lu * lv)
+
+    sizes = []
+    for least in (0.15, 0.3):
+        want = set()
+        for x, y in itertools.combinations(sorted(data), 2):
+            both = cosine(x, y, lambda r: spellings.grams_of((*r[3], *r[4])), counts.grams) * cosine(x, y, lambda r: spellings.contexts_of(r[11], r[9], r[10], r[7]), counts.contexts)
+            if x[1] == y[1] and both >= least and people.evidence(x, y, counts.rarity) > -float("inf"):
+                want.add((x[0], y[0]))
+        assert {(a, b) for a, b, _ in rows(spellings.similar_pairs(feats, least))} == want
+        sizes.append(len(want))
+    assert sizes[0] >= 190 and sizes[0] > sizes[1]
 
 
 def test_cross_links(spark):
