@@ -22,6 +22,7 @@ from functools import lru_cache
 from itertools import combinations
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,37 +113,73 @@ def parses(text: str) -> list[tuple[float, list[str]]]:
     return [(b, list(items)) for items, b in out.items()]
 
 
-def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _value_key(value: str) -> int:
+    """64 bits that are equal for values that differ in letter case only."""
+    return xxhash.xxh64_intdigest(value.lower()) - (1 << 63)
+
+
+def _values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(id, h, n, w): the values of all parses of a text, each once, with the weight that the text gives them.
+
+    A text of one parse needs no costs: its weights are summed over the batch under the id -1.
+    """
     for batch in batches:
-        text, n, k, bits, items = [], [], [], [], []
-        for t, c in zip(batch["text"], batch["n"], strict=True):
+        ids, hs, ns, ws = [], [], [], []
+        plain: dict[int, float] = {}
+        for i, t, n in zip(batch["id"], batch["text"], batch["n"], strict=True):
             found = parses(t)
-            text += [t] * len(found)
-            n += [c] * len(found)
-            k += [len(found)] * len(found)
-            bits += [float(b) for b, _ in found]
-            items += [v for _, v in found]
-        yield pd.DataFrame({"text": text, "n": n, "k": k, "bits": bits, "items": items})
+            weight: dict[int, float] = {}
+            for _, items in found:
+                for v in items:
+                    h = _value_key(v)
+                    weight[h] = weight.get(h, 0.0) + n / len(found)
+            if len(found) == 1:
+                for h, w in weight.items():
+                    plain[h] = plain.get(h, 0.0) + w
+            else:
+                ids += [i] * len(weight)
+                ns += [n] * len(weight)
+                hs += weight
+                ws += weight.values()
+        yield pd.DataFrame({"id": [*ids, *[-1] * len(plain)], "h": [*hs, *plain], "n": [*ns, *[0] * len(plain)], "w": [*ws, *plain.values()]})
 
 
 def cheapest_parses(texts: DataFrame, bits_per_char: float = 5.0) -> DataFrame:
-    """(text, items) for every distinct text of the column ``text``, parsed by its cheapest dialect."""
+    """(text, items) for every distinct text of the column ``text``, parsed by its cheapest dialect.
+
+    What a value costs depends on the value and its text, not on the parse, so only numbers are shuffled: the values of a
+    text once each for the counts, and their codes back to it. Then the text is parsed again and its cheapest parse kept.
+    """
     distinct = texts.where(F.col("text").isNotNull()).groupBy("text").agg(F.count("*").alias("n"))
-    cands = cut(distinct.mapInPandas(_candidates, "text string, n bigint, k int, bits double, items array<string>"), "packed")
-    value = F.lower(F.col("value"))
-    long = cands.select("text", "n", "k", "bits", "items", F.explode("items").alias("value"))
-    counts = cands.select("n", "k", F.explode("items").alias("value")).groupBy(value.alias("value_key")).agg(F.sum(F.col("n") / F.col("k")).alias("c"))
-    counts = cut(counts, "packed-counts")
-    total = counts.agg(F.sum("c")).first()[0] or 1.0
-    others = F.greatest(F.col("c") - F.col("n"), F.lit(0.0))
-    spelled = 10.0 + bits_per_char * (F.length("value") + 1)
-    code = F.least(F.when(others > 0, F.log2(F.lit(float(total) + 1) / others)).otherwise(spelled), spelled)
-    many = long.where("k > 1").select("text", "items", "bits", value.alias("value_key"), "value", "n")
-    cost = many.join(counts, "value_key").groupBy("text", "items", "bits").agg(F.sum(code).alias("code"))
-    best = cost.groupBy("text").agg(F.min_by("items", F.struct((F.col("code") + F.col("bits")).alias("b"), F.size("items").alias("s"), F.col("items").alias("i"))).alias("items"))
-    out = cut(cands.where("k = 1").select("text", "items").unionByName(best), "packed-best")
-    drop_cut(cands)
-    drop_cut(counts)
+    numbered = cut(distinct.select(F.monotonically_increasing_id().alias("id"), "text", "n"), "packed")
+    values = cut(numbered.mapInPandas(_values, "id bigint, h bigint, n bigint, w double"), "packed-values")
+    counts = cut(values.groupBy("h").agg(F.sum("w").alias("c")), "packed-counts")
+    total = float(counts.agg(F.sum("c")).first()[0] or 1.0) + 1.0
+    own = values.where("id >= 0").select("id", "h", "n")
+    # a value that no other text has is spelled out, which needs no code
+    coded = own.join(counts, "h").where(F.col("c") > F.col("n")).select("id", "h", F.log2(F.lit(total) / (F.col("c") - F.col("n"))).cast("float").alias("code"))
+    codes = coded.groupBy("id").agg(F.collect_list("h").alias("hs"), F.collect_list("code").alias("codes"))  # of one text
+    told = numbered.select("id", "text").join(codes, "id", "left")
+
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for t, hs, cs in zip(batch["text"], batch["hs"], batch["codes"], strict=True):
+                found = parses(t)
+                if len(found) > 1:
+                    known = dict(zip(hs.tolist(), cs.tolist(), strict=True)) if hs is not None else {}
+
+                    def bits(one: tuple[float, list[str]], known: dict[int, float] = known) -> tuple:
+                        spelled = ((10.0 + bits_per_char * (len(v) + 1), v) for v in one[1])
+                        return round(one[0] + sum(min(b, known.get(_value_key(v), b)) for b, v in spelled), 6), len(one[1]), one[1]
+
+                    found = [min(found, key=bits)]
+                out.append(found[0][1] if found else [])
+            yield pd.DataFrame({"text": batch["text"], "items": out})
+
+    out = cut(told.select("text", "hs", "codes").mapInPandas(choose, "text string, items array<string>").where(F.size("items") > 0), "packed-best")
+    for df in (numbered, values, counts):
+        drop_cut(df)
     return out
 
 
