@@ -47,10 +47,15 @@ def clean_value(c: Column, kind: T.DataType) -> Column:
     return c
 
 
-def bulk_lines(df, row_id: str, index: str):
-    """Two lines of JSON for each row: the action, then the document without its nulls; long ids are replaced and kept."""
+def bulk_pair(df, row_id: str, index: str):
+    """(_id, _lines): for each row the action and the document without its nulls, a line each; long ids are replaced and kept."""
     cleaned = df.select(*[clean_value(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
     key = safe_id(F.col(row_id))
     kept = cleaned.withColumn("original_id", F.when(key != F.col(row_id), F.col(row_id)))
     action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), key.alias("_id")).alias("index")))
-    return kept.select(F.posexplode(F.array(action, F.to_json(F.struct(*kept.columns)))).alias("line_no", "value"), key.alias("_id"))
+    return kept.select(key.alias("_id"), F.concat_ws("\n", action, F.to_json(F.struct(*kept.columns))).alias("_lines"))
+
+
+def bulk_lines(df, row_id: str, index: str):
+    """(line_no, value, _id): the lines of ``bulk_pair``, a row each."""
+    return bulk_pair(df, row_id, index).select(F.posexplode(F.split("_lines", "\n")).alias("line_no", "value"), "_id")

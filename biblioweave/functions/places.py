@@ -7,11 +7,31 @@ from pyspark.sql import functions as F
 
 from .text import bound, empty_to_null, normalize_text, split_ordered, strip_space
 
-#: Short forms and kind words that institution names are compared without or in full. Fixed values.
-EXPANSIONS = {"univ": "university", "inst": "institute", "tech": "technology", "technol": "technology", "natl": "national", "coll": "college", "sci": "science", "hosp": "hospital", "ctr": "center", "centre": "center", "dept": "department"}
-STOPWORDS = ("the", "of", "and", "for", "de", "at", "in")
+#: Short forms that institution names are compared in full. Fixed values.
+EXPANSIONS = {
+    "univ": "university", "inst": "institute", "tech": "technology", "coll": "college", "acad": "academy", "med": "medical",
+    "sci": "science", "ctr": "center", "dept": "department", "sch": "school",
+}
+#: Words that institution names are compared without. Fixed values.
+STOPWORDS = ("of", "the", "at", "for", "and")
 #: Endings under which a registration has three labels. Fixed values.
-PUBLIC_SUFFIXES = ("co.uk", "ac.uk", "gov.uk", "org.uk", "com.cn", "edu.cn", "org.cn", "net.cn", "gov.cn", "com.au", "edu.au", "co.jp", "ac.jp", "co.kr", "ac.kr", "com.br", "co.in", "com.sg", "com.hk", "com.tw")
+PUBLIC_SUFFIXES = (
+    "com.cn", "edu.cn", "gov.cn", "org.cn", "ac.uk", "co.uk", "org.uk", "gov.uk", "com.au", "edu.au", "org.au", "com.br",
+    "com.mx", "co.jp", "com.sg",
+)
+#: Normalised country names of rankings and addresses, and the name they stand for. Fixed values.
+COUNTRY_NAMES = {
+    "united states": "United States", "united states of america": "United States", "peoples r china": "China",
+    "people s r china": "China", "china": "China", "中华人民共和国": "China", "中国": "China", "hong kong": "Hong Kong",
+    "macao": "Macau", "macau": "Macau", "usa": "United States", "u s a": "United States", "us": "United States",
+    "美国": "United States", "uk": "United Kingdom", "u k": "United Kingdom", "england": "United Kingdom",
+    "scotland": "United Kingdom", "wales": "United Kingdom", "英国": "United Kingdom", "德国": "Germany", "法国": "France",
+    "日本": "Japan", "韩国": "South Korea", "荷兰": "Netherlands", "瑞士": "Switzerland", "瑞典": "Sweden", "加拿大": "Canada",
+    "澳大利亚": "Australia", "印度": "India", "新加坡": "Singapore", "沙特阿拉伯": "Saudi Arabia",
+    "阿联酋": "United Arab Emirates", "阿拉伯联合酋长国": "United Arab Emirates", "爱尔兰": "Ireland", "西班牙": "Spain",
+    "意大利": "Italy", "比利时": "Belgium", "丹麦": "Denmark", "挪威": "Norway", "芬兰": "Finland", "巴西": "Brazil",
+    "墨西哥": "Mexico", "土耳其": "Turkey", "泰国": "Thailand", "马来西亚": "Malaysia", "印度尼西亚": "Indonesia",
+}
 
 
 def institution_of(address: Column) -> Column:
@@ -30,6 +50,13 @@ def country_text(c: Column, names: dict[str, str] | None = None) -> Column:
     return F.when(known.isNotNull(), empty_to_null(cleaned))
 
 
+def ranking_country(c: Column) -> Column:
+    """The name that ``COUNTRY_NAMES`` has for a typed country, else the text itself, trimmed; null for one without letters or digits."""
+    table = F.create_map(*[F.lit(x) for pair in COUNTRY_NAMES.items() for x in pair])
+    known = normalize_text(c)
+    return F.when(known.isNotNull(), F.coalesce(F.element_at(table, known), strip_space(c)))
+
+
 def country_of(address: Column, names: dict[str, str] | None = None) -> Column:
     """The last piece of an address that is no postcode, as ``country_text``."""
     pieces = F.transform(F.split(F.translate(address, ";", ","), ","), lambda t: F.regexp_replace(t, r"^[ .]+|[ .]+$", ""))

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _rule(name: str, rule: str, order: Column) -> Column:
+def rule_of(name: str, rule: str, order: Column) -> Column:
+    """The aggregate of a column by a rule."""
     c = F.col(name)
     if rule == "first_row":
         return F.min_by(F.struct(c.alias("x")), order)["x"]
@@ -46,7 +47,7 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], rules: Mappin
     ready = df
     for n in (n for n, r in rules.items() if r in ("set", "union", "concat")):
         ready = ready.withColumn(n, F.coalesce(F.col(n), F.expr(f"cast(array() as {df.schema[n].dataType.simpleString()})")))
-    return ready.groupBy(*keys).agg(*[_rule(n, r, by).alias(n) for n, r in rules.items()])
+    return ready.groupBy(*keys).agg(*[rule_of(n, r, by).alias(n) for n, r in rules.items()])
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

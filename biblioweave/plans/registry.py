@@ -602,12 +602,18 @@ def enqueue_idempotent(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     """Publications streamed from their files and folded by id, first known values by time."""
-    target, checkpoint = new_path(spark, "upserted"), new_path(spark, "stream")
-    schema = table(spark, d, "publication").schema
-    stream = incremental.new_files(spark, schema, d, "publication.parquet")
-    rules = {"publication_year": "max", "times_cited_wos_core": "max", "updated_at": "max"}
-    incremental.run_available(stream, checkpoint, incremental.upsert_into(target, ["publication_id"], ["created_at"], rules))
-    return incremental.current(spark, target).select("publication_id", "publication_year", "times_cited_wos_core", "created_at", "updated_at")
+    source, target, checkpoint = (new_path(spark, x) for x in ("delivered", "upserted", "stream"))
+    rows = table(spark, d, "publication")
+    # three deliveries by a hash of the row: later ones bring earlier rows of known ids
+    part = F.pmod(F.xxhash64("publication_id", "created_at", "title"), F.lit(3))
+    for k in range(3):
+        rows.where(part == k).write.mode("append").parquet(source)
+    stream = incremental.new_files(spark, rows.schema, source, per_trigger=1)
+    rules = {"title": "first", "publication_year": "first", "times_cited_wos_core": "max", "updated_at": "max"}
+    upserted = incremental.Upserted(spark, target, ["publication_id"], ["created_at", "order_key"], rules)
+    keyed = stream.withColumn("order_key", F.concat_ws("\u0001", F.coalesce("title", F.lit("")), F.coalesce(F.col("publication_year").cast("string"), F.lit(""))))
+    incremental.run_available(keyed, checkpoint, upserted.add)
+    return upserted.current().select("publication_id", "title", "publication_year", "times_cited_wos_core", "created_at", "updated_at")
 
 
 def queries() -> dict[str, Query]:

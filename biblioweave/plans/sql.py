@@ -200,6 +200,7 @@ ORACLES = {
         h_index::VARCHAR AS h_index FROM person""",
     "manifest_diff": _DIFF,
     "enqueue_idempotent": f"SELECT path, 'silver' AS stage FROM ({_DIFF}) WHERE state IN ('new', 'changed')",
-    "stream_upsert": """SELECT publication_id, max(publication_year) AS publication_year, max(times_cited_wos_core) AS times_cited_wos_core, min(created_at) AS created_at, max(updated_at) AS updated_at
-        FROM publication GROUP BY 1""",
+    "stream_upsert": """WITH k AS (SELECT *, coalesce(title, '') || chr(1) || coalesce(CAST(publication_year AS VARCHAR), '') AS ok FROM publication)
+        SELECT publication_id, arg_min(title, (created_at, ok)) FILTER (title IS NOT NULL) AS title, arg_min(publication_year, (created_at, ok)) FILTER (publication_year IS NOT NULL) AS publication_year,
+        max(times_cited_wos_core) AS times_cited_wos_core, min(created_at) AS created_at, max(updated_at) AS updated_at FROM k GROUP BY publication_id""",
 }

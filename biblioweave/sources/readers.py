@@ -6,7 +6,7 @@ import io
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,19 +74,28 @@ def bronze_csv(spark: SparkSession, path: str, group: str, converted_at: str, en
     names = [c for c in raw.columns if c not in META]
     at = F.col("_metadata.file_path")
     plain = raw.select(*[empty_to_null(strip_space(F.col(f"`{n}`"))).alias(n) for n in names], at.alias("source_file"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
-    from pyspark.sql import Window
-
     order = Window.partitionBy("source_file").orderBy("_b", "_m")
     return plain.select("source_file", F.lit(group).alias("source_group"), F.lit(converted_at).alias("converted_at"), F.lit("csv").alias("sheet"), F.row_number().over(order).cast("bigint").alias("row_index"), *names)
 
 
 def row_json(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of JSON lines ``{source_file, sheet, row_index, row: {}}``; other lines drop out, missing places are made."""
-    lines = spark.read.text(path).withColumn("_n", F.monotonically_increasing_id())
+    """Rows of JSON lines ``{source_file, sheet, row_index, row: {}}``; other lines drop out, a missing index is the line's number in its file.
+
+    The number is the lines of the file's earlier parts and the place within its own part, so no file is gathered.
+    """
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    lines = spark.read.text(path).select("value", at.alias("at"), F.monotonically_increasing_id().alias("m"))
     schema = "source_file string, sheet string, row_index bigint, row map<string,string>"
     r = F.from_json("value", schema)
-    rows = lines.select(r.alias("r"), "_n").where(F.col("r.row").isNotNull())
-    return rows.select("r.source_file", F.coalesce("r.sheet", F.lit("unknown")).alias("sheet"), F.coalesce("r.row_index", F.col("_n") + 1).alias("row_index"), F.col("r.row").alias("cells"))
+    rows = lines.select(r.alias("r"), "at", "m")
+    kept = rows.where(F.col("r.row").isNotNull())
+    # ids grow along a part; the parts of a file are few, one for each split
+    parts = lines.groupBy("at").agg(F.count("*").alias("n"), F.min("m").alias("first"))
+    earlier = Window.partitionBy("at.file").orderBy("at.start").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("at", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    number = F.col("before") + F.col("m") - F.col("first") + 1
+    numbered = kept.join(parts, "at")
+    return numbered.select("r.source_file", F.coalesce("r.sheet", F.lit("unknown")).alias("sheet"), F.coalesce("r.row_index", number).cast("bigint").alias("row_index"), F.col("r.row").alias("cells"))
 
 
 def workbook_json(spark: SparkSession, path: str) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import bulk_lines
+from ..functions.ids import bulk_pair
 from ..operators.evidence import flat
 
 
@@ -24,12 +25,14 @@ def to_jsonl(df: DataFrame, path: str, keep_nulls: bool = True, mode: str = "ove
 
 def to_bulk(df: DataFrame, path: str, row_id: str, index: str, mode: str = "overwrite") -> None:
     """Bulk index files: an action line and a document line for each row, next to each other."""
-    bulk_lines(df, row_id, index).select("value").write.mode(mode).text(path)
+    bulk_pair(df, row_id, index).select("_lines").write.mode(mode).text(path)
 
 
 def to_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV files with a header and flat values."""
-    flat(df).write.mode(mode).option("header", True).option("encoding", "utf-8").csv(path)
+    """CSV files with a byte order mark, a header and flat values."""
+    df = flat(df)
+    mark = [F.col(f"`{c}`").alias("\ufeff" + c if k == 0 else c) for k, c in enumerate(df.columns)]
+    df.select(*mark).write.mode(mode).option("header", True).option("encoding", "utf-8").csv(path)
 
 
 def to_excel_file(df: DataFrame, path: str, most: int = 1_000_000) -> None:
@@ -43,29 +46,32 @@ def to_excel_file(df: DataFrame, path: str, most: int = 1_000_000) -> None:
         rows.to_excel(path, index=False, sheet_name="results")
 
 
-def load_bulk(df: DataFrame, row_id: str, index: str, send: Callable[[str], list[dict]], chunk: int = 5000, tries: int = 5) -> DataFrame:
-    """Send the rows in chunks through ``send``; (row_id, status, error) of every row that stays refused."""
+def load_bulk(df: DataFrame, row_id: str, index: str, send: Callable[[str], list[dict]], chunk: int = 5000, tries: int = 5, wait: float = 1.0) -> DataFrame:
+    """Send the rows in chunks through ``send``; (row_id, status, error) of every row that stays refused.
+
+    Both lines of a row travel as one value, so any batch holds whole rows, and repeated ids are sent as often as they occur.
+    A row that is refused for the moment is sent again after ``wait`` seconds, twice as many each time, at most 60.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             failed = []
-            pairs = b.sort_values(["_id", "line_no"])
-            ids = list(dict.fromkeys(pairs["_id"]))
-            lines = {i: "\n".join(g["value"]) for i, g in pairs.groupby("_id", sort=False)}
-            for at in range(0, len(ids), chunk):
-                todo, left = ids[at : at + chunk], {}
-                for _ in range(tries):
-                    answers = send("\n".join(lines[i] for i in todo) + "\n")
-                    left = {i: a for i, a in zip(todo, answers, strict=True) if a.get("status", 200) >= 300}
-                    todo = [i for i, a in left.items() if a["status"] in (408, 429, 500, 502, 503, 504)]
-                    if not todo:
+            rows = list(zip(b["_id"], b["_lines"], strict=True))
+            for at in range(0, len(rows), chunk):
+                todo = rows[at : at + chunk]
+                for k in range(tries):
+                    answers = send("\n".join(t for _, t in todo) + "\n")
+                    refused = [(r, a) for r, a in zip(todo, answers, strict=True) if a.get("status", 200) >= 300]
+                    again = [(r, a) for r, a in refused if a["status"] in (408, 429, 500, 502, 503, 504)]
+                    last = k == tries - 1
+                    failed += [(r[0], int(a["status"]), str(a.get("error", ""))) for r, a in refused if last or (r, a) not in again]
+                    todo = [r for r, _ in again]
+                    if not todo or last:
                         break
-                failed += [(i, int(a["status"]), str(a.get("error", ""))) for i, a in left.items()]
+                    time.sleep(min(60.0, wait * 2**k))
             yield pd.DataFrame(failed, columns=["row_id", "status", "error"])
 
-    both = bulk_lines(df, row_id, index)
-    # the two lines of a row are made from one row, so they are in one partition and, sorted, in one batch's order
-    return both.repartition("_id").sortWithinPartitions("_id", "line_no").mapInPandas(run, "row_id string, status int, error string")
+    return bulk_pair(df, row_id, index).mapInPandas(run, "row_id string, status int, error string")
 
 
 def run_summary(counts: dict[str, DataFrame]) -> DataFrame:

@@ -81,17 +81,56 @@ def test_sinks(spark, tmp_path):
 def test_stream_upsert_and_resume(spark, tmp_path):
     src, target, at = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
     schema = "k string, o int, a string, s double"
-    each = incremental.upsert_into(target, ["k"], ["o"], {"a": "best:x>y", "s": "max"})
+    table = incremental.Upserted(spark, target, ["k"], ["o"], {"a": "best:x>y", "s": "max"}, buckets=3)
     for batch in ([("1", 1, "y", 1.0), ("2", 1, None, None)], [("1", 0, "x", 0.5)]):
         spark.createDataFrame(batch, schema).write.mode("append").parquet(src)
-        incremental.run_available(incremental.new_files(spark, spark.read.parquet(src).schema, src), at, each)
-    assert sorted(map(tuple, incremental.current(spark, target).collect())) == [("1", 0, "x", 1.0), ("2", 1, None, None)]
+        incremental.run_available(incremental.new_files(spark, spark.read.parquet(src).schema, src), at, table.add)
+    assert sorted(map(tuple, table.current().collect())) == [("1", 0, "x", 1.0), ("2", 1, None, None)]
     done = incremental.append_missing(str(tmp_path / "vec"), "k", lambda df: vectors.embed(df.withColumn("t", F.col("a")), "k", "t", vectors.hash_embedder(4), 4))
     done(spark.createDataFrame([("1", "x")], "k string, a string"), 0)
     done(spark.createDataFrame([("1", "x"), ("2", "y")], "k string, a string"), 1)
     assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "vec")).collect()) == ["1", "2"]
 
 
+def test_upserts_in_batches_equal_one(spark, tmp_path):
+    schema = "k string, o int, v string, l array<string>"
+    rows = [("a", 1, None, ["p"]), ("a", 5, "x", ["q"]), ("a", 3, "y", ["r", "p"]), ("b", 9, None, None), ("c", 2, "z", [])]
+    rules = {"v": "first", "l": "union"}
+    whole = incremental.Upserted(spark, str(tmp_path / "one"), ["k"], ["o"], rules)
+    whole.add(spark.createDataFrame(rows, schema), 0, "s")
+    parts = incremental.Upserted(spark, str(tmp_path / "two"), ["k"], ["o"], rules, buckets=2)
+    for n, (lo, hi) in enumerate([(0, 2), (2, 4), (4, 5)]):
+        for _ in range(2):  # a batch that runs again is written once
+            parts.add(spark.createDataFrame(rows[lo:hi], schema), n, "s")
+    want = [("a", 1, "y", ["p", "r", "q"]), ("b", 9, None, []), ("c", 2, "z", [])]
+    assert sorted(map(tuple, whole.current().fillna("").collect()))[0] == want[0]
+    got = sorted((r["k"], r["o"], r["v"], r["l"] or []) for r in parts.current().collect())
+    assert got == want and got == sorted((r["k"], r["o"], r["v"], r["l"] or []) for r in whole.current().collect())
+    # another stream's batches have numbers of their own
+    parts.add(spark.createDataFrame([("d", 1, "w", None)], schema), 0, "other")
+    assert parts.current().count() == 4
+
+
+def test_line_numbers_of_json(spark, tmp_path):
+    from biblioweave.sources import readers
+
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join('{"source_file": "%s", "row": {"x": "%d"}}' % (name, k) if k != 1 else "junk" for k in range(4)))
+    got = sorted((r["source_file"], r["row_index"], r["cells"]["x"]) for r in readers.row_json(spark, str(tmp_path)).collect())
+    assert got == [(f, k + 1, str(k)) for f in "ab" for k in (0, 2, 3)]
+
+
+def test_load_bulk_repeats_and_waits(spark):
+    from biblioweave.sources import sinks
+
+    def send(body):
+        docs = body.splitlines()[1::2]
+        return [{"status": 503 if '"busy"' in x else 201} for x in docs]
+
+    df = spark.createDataFrame([("1", "ok"), ("1", "ok"), ("2", "busy")], "id string, v string")
+    assert [tuple(r)[:2] for r in sinks.load_bulk(df, "id", "idx", send, tries=2, wait=0.01).collect()] == [("2", 503)]
+
+
 def test_windowed_counts(spark, tmp_path):
     import datetime as dt
 
