@@ -4,7 +4,8 @@ The canonical key drops white space, case, punctuation, the customary lead-in of
 address) and which identifier field holds which. The ledger is a set of bucketed tables in the shared folder: a batch is
 aggregated to one row for each key (partial aggregation, so a key with a third of all rows moves as a few rows), then
 full-outer-joined with the matching buckets of the ledger only; counts add up and the earliest representative stays.
-Buckets that a batch doesn't touch are neither read nor written.
+Buckets that a batch doesn't touch are neither read nor written. A version is written by ``buckets * splits`` tasks: raise them
+with the number of keys. A batch may be named, so that one that is delivered again after a failure counts once.
 
 Defined cases: a missing identifier or title agrees only with a missing one (blank counts as missing); rows without an
 identifier and without a title stay apart; repeated rows count; an empty batch changes nothing.
@@ -45,10 +46,11 @@ def canonical_key(identifiers: list[Column], texts: list[Column], row_id: Column
 class Ledger:
     """Bucketed counts of canonical keys: key, copies, keep_id (smallest id), first_at (earliest time seen)."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 32) -> None:
-        self.spark, self.path, self.buckets = spark, path or new_path(spark, "ledger"), buckets
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 32, splits: int = 4) -> None:
+        self.spark, self.path, self.buckets, self.splits = spark, path or new_path(spark, "ledger"), buckets, splits
         self.versions: dict[int, str] = {}  # bucket -> folder of its newest version; at most ``buckets`` entries
         self.number = 0
+        self.batches: set[str] = set()
         if path is not None:
             self._resume()
 
@@ -63,6 +65,7 @@ class Ledger:
             version = jvm.org.apache.hadoop.fs.Path(root, name)
             if name.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(version, "_SUCCESS")):
                 self.number = int(name[1:7]) + 1
+                self.batches |= {name.split("-", 2)[2]} - {""}
                 for s in fs.listStatus(version):
                     part = s.getPath().getName()
                     if part.startswith("bucket="):
@@ -82,9 +85,11 @@ class Ledger:
             out = out.unionByName(p)
         return out
 
-    def add(self, rows: DataFrame) -> "Ledger":
-        """Fold a batch with the columns key, row_id and at into the ledger."""
+    def add(self, rows: DataFrame, batch: str = "") -> "Ledger":
+        """Fold a batch with the columns key, row_id and at into the ledger; a named one that was folded before changes nothing."""
         spark = self.spark
+        if batch and batch in self.batches:
+            return self
         fresh = (
             rows.groupBy("key")
             .agg(F.count("*").alias("copies"), F.min("row_id").alias("keep_id"), F.min(F.col("at").cast("timestamp")).alias("first_at"))
@@ -106,9 +111,10 @@ class Ledger:
                 F.least("a.first_at", "b.first_at").alias("first_at"),
                 F.coalesce("a.bucket", "b.bucket").alias("bucket"),
             )
-        version = f"{self.path}/v{self.number:06d}-{new_path(spark, 'x')[-8:]}"
+        version = f"{self.path}/v{self.number:06d}-{new_path(spark, 'x')[-8:]}-{batch}"
+        self.batches |= {batch} - {""}
         self.number += 1
-        fresh.repartition(F.col("bucket"), F.pmod(F.xxhash64("key"), F.lit(4))).write.partitionBy("bucket").parquet(version)
+        fresh.repartition(F.col("bucket"), F.pmod(F.xxhash64("key"), F.lit(self.splits))).write.partitionBy("bucket").parquet(version)
         for (b,) in spark.read.schema(self.SCHEMA).parquet(version).select("bucket").distinct().collect():
             self.versions[b] = version
         return self

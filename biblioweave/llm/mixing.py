@@ -2,12 +2,12 @@
 
 Each source's texts are laid end to end in a pseudorandom order and cut into blocks of ``block_tokens``; a distributed
 prefix sum over hash buckets gives every text its place. The largest total in which each source keeps its share without
-using a block more than ``max_repeats`` times sets the number of slots of each source. The slots are spread over output
-shards by multinomial draws without replacement (so that the totals stay exact), each slot is mapped through its
-source's pseudorandom permutation of block numbers, another one in each repeat, and joined with the blocks by number.
+using a block more than ``max_repeats`` times sets the number of slots of each source. A pseudorandom permutation of all
+slots deals them to output shards, so a shard's source counts are multinomial draws without replacement and the totals stay
+exact, with nothing drawn on the driver. Each slot is mapped through its source's pseudorandom permutation of block
+numbers, another one in each repeat, and joined with the blocks by number.
 
-Only sums for each (source, bucket) are gathered, at most ``MAX_BUCKETS`` for each source, and source counts for each
-shard. Defined cases: a source without target, or with a share of 0, gives nothing; a text without tokens is in no
+Only sums for each source are gathered. Defined cases: a source without target, or with a share of 0, gives nothing; a text without tokens is in no
 block; a source that has no tokens but a share makes the mix empty; repeated ids are laid out as often as they occur.
 """
 
@@ -66,24 +66,19 @@ def blocks(sizes: DataFrame, block_tokens: int, docs_per_bucket: int = 20_000) -
     return cutup.select("source", "block", "doc_id", (lo - F.col("at")).alias("doc_from"), (hi - lo).alias("n_tokens")), totals
 
 
-def draw(n_blocks: dict[str, int], target: dict[str, tuple[float, int]], shard_blocks: int, seed: int) -> list[tuple[int, str, int, int]]:
-    """(shard, source, first slot of the source, slots): how many blocks of each source every shard takes."""
+def slots_of(n_blocks: dict[str, int], target: dict[str, tuple[float, int]]) -> dict[str, int]:
+    """How many slots each source fills: its share of the largest total that no source's repeats are too few for."""
     use = {s: t for s, t in target.items() if t[0] > 0 and t[1] > 0}
     if not use or any(n_blocks.get(s, 0) == 0 for s in use):
-        return []
+        return {}
     total = min(n_blocks[s] * r / share for s, (share, r) in use.items())
-    names = sorted(use)
-    left = np.array([min(round(total * use[s][0]), n_blocks[s] * use[s][1]) for s in names], dtype=np.int64)
-    rng, at, out, shards = np.random.default_rng(seed), np.zeros(len(names), np.int64), [], max(1, math.ceil(left.sum() / shard_blocks))
-    for shard in range(shards):
-        want = int(math.ceil(left.sum() / (shards - shard)))
-        got = rng.multivariate_hypergeometric(left, want, method="marginals") if shard < shards - 1 else left.copy()
-        out += [(shard, s, int(a), int(n)) for s, a, n in zip(names, at, got, strict=True) if n]
-        at, left = at + got, left - got
-    return out
-
-
-def mix(sizes: DataFrame, targets: DataFrame, block_tokens: int = 64, shard_blocks: int = 65_536, seed: int = 7) -> DataFrame:
+    return {s: min(round(total * share), n_blocks[s] * r) for s, (share, r) in sorted(use.items())}
+
+
+CHUNK_SLOTS = 1 << 16
+
+
+def mix(sizes: DataFrame, targets: DataFrame, block_tokens: int = 512, shard_blocks: int = 65_536, seed: int = 7) -> DataFrame:
     """(shard, slot, source, repeat_no, block, doc_id, doc_from, n_tokens): the selection, piece by piece."""
     spark = sizes.sparkSession
     rows = targets.select("source", "target_share", "max_repeats").where("source is not null").limit(MAX_SOURCES + 1).collect()
@@ -92,18 +87,26 @@ def mix(sizes: DataFrame, targets: DataFrame, block_tokens: int = 64, shard_bloc
     target = {r[0]: (float(r[1] or 0), int(r[2] or 0)) for r in rows}
     pieces, totals = blocks(sizes, block_tokens)
     n_blocks = {s: -(-t // block_tokens) for s, t in totals.items()}
-    drawn = draw(n_blocks, target, shard_blocks, seed)
+    slots = slots_of(n_blocks, target)
     keys = {s: k for k, s in enumerate(sorted(target))}
-    plan = [(*d, n_blocks[d[1]], keys[d[1]]) for d in drawn]
-    slots = spark.createDataFrame(plan, "shard int, source string, first bigint, slots bigint, n bigint, k int")
+    all_slots, plan = 0, []
+    for s, n in slots.items():
+        plan.append((s, all_slots, n, n_blocks[s], keys[s]))
+        all_slots += n
+    # a row for each source becomes one for each chunk of its slots, and those are dealt to tasks before slots are made
+    sources = spark.createDataFrame(plan, "source string, first bigint, slots bigint, n bigint, k int")
+    chunks = sources.withColumn("from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("slots") - 1, F.lit(0)), F.lit(CHUNK_SLOTS).cast("bigint")))).where("slots > 0")
+    chunks = chunks.repartition("source", "from")
 
     @F.pandas_udf("bigint")
     def place(j: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
         return pd.Series(permuted(j.to_numpy(), n.to_numpy(), key.to_numpy()))
 
-    each = slots.withColumn("slot", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("slots") - 1)))
+    each = chunks.withColumn("slot", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + CHUNK_SLOTS, F.col("slots")) - 1)))
+    dealt = place(F.col("first") + F.col("slot"), F.lit(max(1, all_slots)).cast("bigint"), F.lit(seed * 7_919 + 1).cast("bigint"))
+    each = each.withColumn("shard", (dealt / F.lit(shard_blocks)).cast("int"))
     repeat = (F.col("slot") / F.col("n")).cast("int")
-    each = each.withColumn("repeat_no", repeat).withColumn("block", place(F.col("slot") % F.col("n"), F.col("n"), F.lit(seed * 1_000_003) + F.col("k") * 1009 + F.col("repeat_no")))
+    each = each.withColumn("repeat_no", repeat).withColumn("block", place(F.col("slot") % F.col("n"), F.col("n"), F.lit(seed * 1_000_003).cast("bigint") + F.col("k") * 1009 + F.col("repeat_no")))
     return each.join(pieces, ["source", "block"]).select("shard", "slot", "source", "repeat_no", "block", "doc_id", "doc_from", "n_tokens")
 
 

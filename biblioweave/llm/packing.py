@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .tokens import VOCABULARY, token_sizes
 
 
@@ -69,6 +70,7 @@ def pack(sizes: DataFrame, containers: DataFrame, item: str = "doc_id", window_i
     kinds = [(r[0], int(r[1])) for r in containers.select("container_kind", "capacity_tokens").distinct().limit(101).collect()]
     if len(kinds) > 100 or any(c < 1 for _, c in kinds):
         raise ValueError("there are more than 100 kinds of containers, or one has no room")
+    sizes = cut(sizes.select(item, "n_tokens"), "pack-sizes")  # texts are tokenised once
     kind_type = sizes.schema[item].dataType.simpleString()
     windows = max(1, -(-sizes.count() // window_items))
     each = F.array(*[F.struct(F.lit(k).alias("container_kind"), F.lit(c).cast("bigint").alias("capacity_tokens")) for k, c in kinds])

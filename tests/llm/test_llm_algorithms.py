@@ -102,6 +102,9 @@ def test_ledger_batches_add_up(spark):
     again = ledger.Ledger(spark, led.path, buckets=3)
     again.add(df.where("row_id < '010'"))
     assert again.current().agg(F.sum("copies")).first()[0] == 210
+    for _ in range(2):  # a named batch counts once, also after a restart
+        ledger.Ledger(spark, led.path, buckets=3).add(df.where("row_id < '005'"), batch="delivery-7")
+    assert ledger.Ledger(spark, led.path, buckets=3).current().agg(F.sum("copies")).first()[0] == 215
 
 
 # 6: components
