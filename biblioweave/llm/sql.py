@@ -97,4 +97,12 @@ WITH RECURSIVE edges AS (
 SELECT min(root) AS group_id, person_id FROM walk GROUP BY person_id
 """
 
-ORACLES = {"p1_found": P1_FOUND, "p1_survivors": P1_SURVIVORS, "p2_found": P2_FOUND, "p2_ledger": P2_LEDGER, "p6_found": P6_FOUND}
+P6_REPORT = f"""
+WITH groups AS ({P6_FOUND}),
+rows AS (SELECT DISTINCT ON (person_id) person_id, canonical_person_id, cluster_size FROM person)
+SELECT group_id, count(*) AS members, count(canonical_person_id) AS matched_before, min(canonical_person_id) AS first_canonical_id, min(cluster_size) AS least_recorded_size,
+  max(cluster_size) AS largest_recorded_size, coalesce(min(cluster_size) <> count(*) OR max(cluster_size) <> count(*), false) AS size_is_stale
+FROM groups LEFT JOIN rows USING (person_id) GROUP BY group_id
+"""
+
+ORACLES = {"p1_found": P1_FOUND, "p1_survivors": P1_SURVIVORS, "p2_found": P2_FOUND, "p2_ledger": P2_LEDGER, "p6_found": P6_FOUND, "p6_report": P6_REPORT}
