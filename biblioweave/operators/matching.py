@@ -32,8 +32,8 @@ def nodes_of_persons(person: DataFrame) -> DataFrame:
         F.array_distinct(F.transform(F.array_compact(F.concat(F.array("primary_email"), F.coalesce("emails", empty))), F.lower)).alias("emails"),
         _norm_set(F.concat(F.coalesce("affiliations", empty), F.array_compact(F.array("current_affiliation")))).alias("institutions"),
         _norm_set(F.concat(F.coalesce("countries_observed", empty), F.array_compact(F.array("country")))).alias("countries"),
-        "source_systems",
-        F.col("updated_at"),
+        F.coalesce("source_systems", empty).alias("source_systems"),
+        *[F.col(c) if c in one.columns else F.lit(None).cast(kind).alias(c) for c, kind in (("name_original", "string"), ("publication_ids", "array<string>"), ("qs_top200_rank", "int"), ("world_top500_rank", "int"), ("created_at", "timestamp"), ("updated_at", "timestamp"))],
     )
 
 
@@ -67,9 +67,28 @@ def blocked_pairs(keys: DataFrame, most: int | None = 200) -> tuple[DataFrame, D
     return pairs, sizes.where(large)
 
 
+#: Key of the block of pairs that another service delivered as matches. Fixed value.
+EXTERNAL = "external_matched"
+
+
+def with_external(pairs: DataFrame, delivered: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, keys) with the delivered ones (a, b, either way round) added under the key ``EXTERNAL``."""
+    ends = delivered.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = pairs.unionByName(ends.withColumn("keys", F.array(F.lit(EXTERNAL))))
+    return both.groupBy("a", "b").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("keys"))
+
+
+def stable_in_publications() -> Column:
+    """True for two author records (``l_``, ``r_``) of one compact name and a shared institution that come from different publications."""
+    authors = F.array_contains("l_source_systems", "frontiers") & F.array_contains("r_source_systems", "frontiers")
+    known = (F.size(F.coalesce("l_publication_ids", F.array())) > 0) & (F.size(F.coalesce("r_publication_ids", F.array())) > 0)
+    differ = F.array_sort(F.array_distinct("l_publication_ids")) != F.array_sort(F.array_distinct("r_publication_ids"))
+    return F.coalesce(authors & (F.col("l_name.compact_full") == F.col("r_name.compact_full")) & F.arrays_overlap("l_institutions", "r_institutions") & known & differ, F.lit(False))
+
+
 def decided_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b, decision, score, rules_hit, conflict_flags): merge, manual_review or blocked_conflict; others drop out."""
-    cols = ["node", "name", "aliases", "orcids", "rids", "institutions", "countries"]
+    cols = ["node", "name", "aliases", "orcids", "rids", "institutions", "countries", "source_systems", "publication_ids"]
     l = nodes.select(*[F.col(c).alias(f"l_{c}") for c in cols]).withColumnRenamed("l_node", "a")
     r = nodes.select(*[F.col(c).alias(f"r_{c}") for c in cols]).withColumnRenamed("r_node", "b")
     both = pairs.join(l, "a").join(r, "b")
@@ -82,7 +101,7 @@ def decided_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     flags = F.array_compact(F.array(F.when(disjoint("orcids"), F.lit("orcid_conflict")), F.when(disjoint("rids"), F.lit("researcher_id_conflict"))))
     named = name_score(F.col("l_name"), F.col("r_name"), F.col("l_aliases"), F.col("r_aliases"))
-    supports = F.array_compact(F.array(F.when(shared("institutions"), F.lit("institution_overlap")), F.when(shared("countries"), F.lit("country_overlap"))))
+    supports = F.array_compact(F.array(F.when(shared("institutions"), F.lit("institution_overlap")), F.when(shared("countries"), F.lit("country_overlap")), F.when(F.array_contains("keys", EXTERNAL), F.lit(EXTERNAL)), F.when(stable_in_publications(), F.lit("publication_stability"))))
     scored = both.select("a", "b", "keys", flags.alias("flags"), named.alias("named"), supports.alias("supports"))
     blocked = F.size("flags") > 0
     decision = F.when(blocked, "blocked_conflict").when(F.coalesce(F.col("named.score"), F.lit(0.0)) < STRONG_NAME, None).when(F.size("supports") >= 2, "merge").when(F.size("supports") == 1, "manual_review")
@@ -108,7 +127,7 @@ def canonical_id(orcids: Column, rids: Column, emails: Column, members: Column)
 
 
 def cluster_fold(nodes: DataFrame, linked: DataFrame) -> DataFrame:
-    """One row for each cluster: canonical id, representative, size, and the united sets."""
+    """One row for each cluster: canonical id, representative and its name, size, the united sets, the best ranks, the first and last time."""
     full = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     filled = F.lit(0)
     for c in ("orcids", "rids", "emails", "institutions", "countries"):
@@ -116,25 +135,37 @@ def cluster_fold(nodes: DataFrame, linked: DataFrame) -> DataFrame:
     trusted = F.coalesce(F.arrays_overlap("source_systems", F.array(F.lit("scholars"), F.lit("matched"))), F.lit(False)).cast("int")
     sets = {c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("orcids", "rids", "emails", "institutions", "countries")}
     out = full.groupBy("component").agg(
-        F.max_by("node", F.struct(trusted, filled, F.col("node"))).alias("representative"), F.count("*").alias("cluster_size"), F.array_sort(F.collect_list("node")).alias("members"), *sets.values()
+        F.max_by("node", F.struct(trusted, filled, F.col("node"))).alias("representative"),
+        F.count("*").alias("cluster_size"),
+        F.array_sort(F.collect_list("node")).alias("members"),
+        F.max_by("name_original", F.struct(trusted, filled, F.col("node"))).alias("name_original"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("aliases")))).alias("name_aliases"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("source_systems")))).alias("source_systems"),
+        F.min("qs_top200_rank").alias("qs_top200_rank"),
+        F.min("world_top500_rank").alias("world_top500_rank"),
+        F.min("created_at").alias("created_at"),
+        F.max("updated_at").alias("updated_at"),
+        *sets.values(),
     )
     return out.withColumn("canonical_person_id", canonical_id(F.col("orcids"), F.col("rids"), F.col("emails"), F.col("members")))
 
 
-def cluster_persons(person: DataFrame, phases: Sequence[str] = ("orcids", "rids", "emails"), most: int = 200) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(clusters, decisions, links): strong identifiers, then merged pairs, then components of them all."""
+def cluster_persons(person: DataFrame, phases: Sequence[str] = ("orcids", "rids", "emails"), most: int | None = 200, external: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(clusters, decisions, links, skipped): strong identifiers, then merged pairs, then components of them all.
+
+    ``skipped`` lists the blocks (key, n) above ``most`` whose pairs are not compared; with None there are none.
+    """
     from ..session import cut
 
     nodes = cut(nodes_of_persons(person), "nodes")
-    pairs, _ = blocked_pairs(block_keys(nodes), most)
+    pairs, skipped = blocked_pairs(block_keys(nodes), most)
+    pairs = with_external(pairs, external) if external is not None else pairs
     decisions = cut(decided_pairs(pairs, nodes), "decisions")
     edges = decisions.where("decision = 'merge'").select("a", "b")
     for column in phases:
         edges = edges.unionByName(strong_edges(nodes, column))
     links = cut(components(edges, "a", "b"), "links")
-    return cluster_fold(nodes, links), decisions, links
-
-
+    return cluster_fold(nodes, links), decisions, links, skipped
 
 
 def reconcile(persons: DataFrame, relations: DataFrame, by: str, person_id: str, order: Sequence[str], rules: dict[str, str], best: Sequence[Column]) -> tuple[DataFrame, DataFrame]:

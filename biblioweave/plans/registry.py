@@ -14,7 +14,7 @@ from ..operators.packed_fields import split_packed
 from ..session import cut, new_path, table
 from ..sources import control
 from ..streaming import incremental
-from . import silver, sql
+from . import projection, silver, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACKED = ["author_keywords", "keywords_plus", "wos_categories"]
@@ -457,7 +457,7 @@ def pair_decisions(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def cluster_fold(spark: SparkSession, d: str) -> DataFrame:
     """Persons clustered by identifiers and decisions (no SQL; tested on a fixture)."""
-    clusters, _, _ = matching.cluster_persons(table(spark, d, "person"))
+    clusters, *_ = matching.cluster_persons(table(spark, d, "person"))
     return clusters.select("canonical_person_id", "representative", "cluster_size")
 
 
@@ -569,12 +569,46 @@ def email_score(spark: SparkSession, d: str) -> DataFrame:
 
 @_query
 def author_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Author lists put together and taken apart again (no SQL)."""
-    a = table(spark, d, "author_occurrence").dropDuplicates(["occurrence_id"]).where(~F.contains("author_name_raw", F.lit(";")))
+    """Author lists put together and taken apart again, names with a semicolon included."""
+    a = table(spark, d, "author_occurrence").dropDuplicates(["occurrence_id"])
     rows = a.groupBy("publication_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("author_order", "author_name_raw"))), lambda x: x["author_name_raw"]), "; ").alias("names"))
     return silver.authors(rows, "publication_id", "names").select("publication_id", "author_order", "author_name_norm", "surname_norm", "initials")
 
 
+# from bronze to silver
+
+
+@_query
+def publication_projection(spark: SparkSession, d: str) -> DataFrame:
+    """Publications made of export rows; lists are joined for comparison."""
+    p = table(spark, d, "publication")
+    rows = projection.cells_of(p, projection.PUBLICATION_FIELDS, F.get("source_refs", F.lit(0)))
+    made = projection.publications(rows, F.col("updated_at"))
+    lists = [c for c, (_, kind) in projection.PUBLICATION_FIELDS.items() if kind == "list"]
+    plain = [F.concat_ws("|", c).alias(c) if c in lists else F.col(c) for c in ("publication_id", *projection.PUBLICATION_FIELDS)]
+    return made.select(*plain, F.col("source_refs")[0]["source_file"].alias("source_file"), F.size(F.col("source_refs")[0]["raw_keys"]).alias("n_keys"), "updated_at")
+
+
+@_query
+def person_seeds(spark: SparkSession, d: str) -> DataFrame:
+    """Person records made of the rows of a profile list."""
+    fields = projection.PERSON_FIELDS | {"name_original": ("name", "text"), "orcid": ("orcid", "text")}
+    p = table(spark, d, "person").where(F.array_contains("source_systems", "scholars"))
+    made = projection.person_seeds(projection.cells_of(p, fields, F.get("source_refs", F.lit(0))), F.col("updated_at"))
+    return made.select("person_id", "name_norm", "orcid", "country", "current_affiliation", F.concat_ws("|", "subjects").alias("subjects"), "h_index", "total_citations", "articles", F.size("countries_observed").alias("n_countries"), "updated_at")
+
+
+@_query
+def publication_stability(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of author records of one compact name and one journal in different publications: the support that needs no identifier."""
+    a = table(spark, d, "author_occurrence").dropDuplicates(["occurrence_id"])
+    p = table(spark, d, "publication").where(F.col("source_title").isNotNull()).groupBy("publication_id").agg(F.min("source_title").alias("source_title"))
+    key = text.normalize_compact(F.col("author_name_norm"))
+    nodes = a.join(p, "publication_id").where("is_corresponding_author").select("occurrence_id", "publication_id", F.concat_ws("|", key, "source_title").alias("key")).where(key.isNotNull())
+    sizes = nodes.groupBy("key").agg(F.countDistinct("publication_id").alias("n_publications"), F.count("*").alias("n_nodes"))
+    return sizes.where("n_publications > 1")
+
+
 # control tables and streams
 
 

@@ -23,6 +23,34 @@ _MATCHED = "SELECT DISTINCT ON (person_id) * FROM person WHERE canonical_person_
 _WORDS = rf"string_split(coalesce({_norm('text')}, ''), ' ')"
 _RAW = _strip("coalesce(author_name_raw, '')")
 
+
+def _int(x: str) -> str:
+    return rf"CASE WHEN regexp_matches({_strip(f'CAST({x} AS VARCHAR)')}, '^[+-]?\d{{1,10}}$') THEN TRY_CAST({_strip(f'CAST({x} AS VARCHAR)')} AS INTEGER) END"
+
+
+def _listed(x: str) -> str:
+    """Distinct trimmed values between semicolons, sorted and joined; also of an array."""
+    return f"array_to_string(list_sort(list_distinct({_pieces(x)})), '|')"
+
+
+def _projection() -> str:
+    from .projection import PUBLICATION_FIELDS
+
+    arrays = ("research_areas", "web_of_science_index", "funding_orgs")
+    cols = []
+    for c, (_, kind) in PUBLICATION_FIELDS.items():
+        source = f"array_to_string({c}, ';')" if c in arrays else c
+        cols.append(f"{_int(c)} AS {c}" if kind == "int" else f"coalesce({_listed(source)}, '') AS {c}" if kind == "list" else c)
+    known = " + ".join(f"({c} IS NOT NULL)::INT" for c in PUBLICATION_FIELDS)
+    return f"""
+        SELECT coalesce(nullif(doi, ''), nullif(ut_wos_id, ''), sha1(coalesce(title, '') || '|' || coalesce(CAST(nullif(publication_year, 0) AS VARCHAR), '') || '|' || coalesce(source_title, ''))) AS publication_id,
+          {", ".join(cols)}, source_refs[1].source_file AS source_file, {known} AS n_keys, updated_at FROM publication"""
+
+
+_NAMED = rf"""
+        SELECT *, CASE WHEN contains(raw, ',') THEN {_strip("string_split(raw, ',')[1]")} ELSE string_split_regex(raw, '[\s ]+')[-1] END AS s,
+          CASE WHEN contains(raw, ',') THEN {_strip("regexp_replace(raw, '^[^,]*,', '')")} ELSE array_to_string(string_split_regex(raw, '[\s ]+')[:-2], ' ') END AS g"""
+
 _EDGES = """
 edges_{p} AS (
   SELECT candidate_a_id AS a, candidate_b_id AS b FROM person_match_audit WHERE decision IN ({d}) AND candidate_a_id <> candidate_b_id
@@ -203,4 +231,29 @@ ORACLES = {
     "stream_upsert": """WITH k AS (SELECT *, coalesce(title, '') || chr(1) || coalesce(CAST(publication_year AS VARCHAR), '') AS ok FROM publication)
         SELECT publication_id, arg_min(title, (created_at, ok)) FILTER (title IS NOT NULL) AS title, arg_min(publication_year, (created_at, ok)) FILTER (publication_year IS NOT NULL) AS publication_year,
         max(times_cited_wos_core) AS times_cited_wos_core, min(created_at) AS created_at, max(updated_at) AS updated_at FROM k GROUP BY publication_id""",
+    "publication_projection": _projection(),
+    "person_seeds": f"""
+        WITH p AS (SELECT *, {_norm('name_original')} AS n, {_ORCID} AS o FROM person WHERE list_contains(source_systems, 'scholars'))
+        SELECT sha1(n || '|' || coalesce(o, '') || '|' || coalesce(country, '')) AS person_id, n AS name_norm, o AS orcid, country, current_affiliation,
+          coalesce({_listed("array_to_string(subjects, ';')")}, '') AS subjects, h_index, total_citations, articles, CASE WHEN country IS NULL THEN 0 ELSE 1 END AS n_countries, updated_at
+        FROM p WHERE n IS NOT NULL""",
+    "publication_stability": f"""
+        WITH p AS (SELECT publication_id, min(source_title) AS t FROM publication WHERE source_title IS NOT NULL GROUP BY 1),
+        a AS (SELECT DISTINCT ON (occurrence_id) * FROM author_occurrence)
+        SELECT {_compact('author_name_norm')} || '|' || t AS key, count(DISTINCT publication_id) AS n_publications, count(*) AS n_nodes FROM a JOIN p USING (publication_id)
+        WHERE is_corresponding_author AND {_compact('author_name_norm')} IS NOT NULL GROUP BY 1 HAVING count(DISTINCT publication_id) > 1""",
+    "author_rows": rf"""
+        WITH a AS (SELECT DISTINCT ON (occurrence_id) publication_id, author_order, author_name_raw FROM author_occurrence),
+        l AS (SELECT publication_id, list_filter(list_transform(string_split(string_agg(author_name_raw, '; ' ORDER BY author_order NULLS FIRST, author_name_raw NULLS FIRST), ';'), lambda t: {_strip('t')}), lambda t: t <> '') AS names FROM a GROUP BY 1),
+        e AS (SELECT publication_id, unnest(names) AS raw, generate_subscripts(names, 1) AS author_order FROM l), h AS ({_NAMED} FROM e)
+        SELECT publication_id, CAST(author_order AS INTEGER) AS author_order, {_norm('raw')} AS author_name_norm, {_norm('s')} AS surname_norm,
+          nullif(array_to_string(list_transform(list_filter(string_split(coalesce({_norm('g')}, ''), ' '), lambda t: t <> ''), lambda t: t[1]), ''), '') AS initials FROM h WHERE {_norm('raw')} IS NOT NULL""",
+    "type_anomalies": " UNION ALL ".join(
+        f"SELECT '{c}' AS field, count(*) AS n_rows, count(*) FILTER ({c} IS NULL OR trim({c}, ' ') = '') AS n_null, round(count(*) FILTER ({c} IS NULL OR trim({c}, ' ') = '') / count(*), 6) AS null_rate, "
+        f"count(*) FILTER ({c} IS NOT NULL AND NOT regexp_matches({c}, '^\\s*[+-]?\\d{{1,{9 if c != 'pubmed_id' else 18}}}(\\.\\d*)?\\s*$')) AS n_anomalies FROM publication"
+        for c in ("volume", "issue", "pubmed_id")
+    ),
+    "embed_text": f"""
+        WITH t AS (SELECT publication_id, nullif({_strip('title')}, '') AS t, nullif({_strip('abstract')}, '') AS a, nullif({_strip('author_keywords')}, '') AS k, nullif({_strip('keywords_plus')}, '') AS q FROM publication)
+        SELECT publication_id, CASE WHEN t IS NOT NULL THEN concat_ws(chr(10), 'Title: ' || t, 'Abstract: ' || a, 'Author keywords: ' || k, 'Keywords plus: ' || q) END AS embedding_text FROM t""",
 }

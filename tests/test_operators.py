@@ -213,7 +213,7 @@ def test_decisions_and_clusters(spark):
     pairs, _ = matching.blocked_pairs(matching.block_keys(nodes))
     got = {(a, b): d for a, b, d, *_ in rows(matching.decided_pairs(pairs, nodes))}
     assert got[("1", "2")] == "merge" and got[("1", "3")] == "manual_review" and got[("4", "5")] == "blocked_conflict"
-    clusters, _, _ = matching.cluster_persons(df)
+    clusters, *_ = matching.cluster_persons(df)
     sizes = sorted(r["cluster_size"] for r in clusters.collect())
     assert sizes == [1, 5]
     _, big = matching.blocked_pairs(matching.block_keys(nodes), most=3)
