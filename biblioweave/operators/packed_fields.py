@@ -54,6 +54,8 @@ def _patterns(delimiters: tuple[str, ...]) -> tuple[re.Pattern, re.Pattern, re.P
 def parse(text: str, delimiters: tuple[str, ...], quotes: bool) -> list[str]:
     """The non-empty values of a text under a dialect, in order."""
     cut_at, quoted, opening = _patterns(delimiters)
+    if not quotes or not any(q in text for q in "\"“'‘«"):
+        return [v for piece in cut_at.split(text) if (v := piece.strip())]
     out, pos, end = [], 0, len(text)
     while pos <= end:
         m = quoted.match(text, pos) if quotes and opening.match(text, pos) else None
@@ -97,11 +99,12 @@ def _unwrapped(text: str) -> str | None:
 def parses(text: str) -> list[tuple[float, list[str]]]:
     """(bits for naming the dialect, values) of every dialect that differs on this text."""
     out: dict[tuple[str, ...], float] = {}
-    for wrap, body in ((False, text), (True, _unwrapped(text))):
+    inner = _unwrapped(text)
+    for wrap, body in ((False, text), (True, inner)):
         if body is None:
             continue
         here = [d for d, p in _FOUND.items() if p.search(body)]
-        kept = 0 if wrap or _unwrapped(text) is None else KEEP_WRAP_BITS
+        kept = 0 if wrap or inner is None else KEEP_WRAP_BITS
         for n in range(len(here) + 1):
             for ds in combinations(here, n):
                 bits = kept + sum(DELIMITER_BITS[d] for d in ds) + 3 * max(0, n - 1)
