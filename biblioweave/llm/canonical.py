@@ -8,9 +8,9 @@ the closure, and every row is matched where it lies: nothing is shuffled but the
 Countries: aliases are the names that the JVM's locale data has in the languages of ``LANGUAGES``, the ISO codes, and
 the forms in ``COUNTRY_ALIASES``; government words ("republic of") are dropped. Codes count only as the whole value.
 
-Institutions: a name is a place and kind words. Abbreviations and other languages' kind words are resolved, so a value
-means an entry if its place and the set of kind words are the entry's; the same place with other kind words is another
-institution. An acronym counts where one entry only has it.
+Institutions: a name is a set of tokens, of its place and of its kind. Abbreviations and other languages' kind words are
+resolved. A value means the entry with the largest token-set similarity, if that is large enough: the same place with other
+kind words is another institution. An acronym counts where one entry only has it.
 
 Defined cases: null and empty values and those that are an entry letter for letter give no row; blanks and placeholders
 are ``unmatched``; repeated rows give one row; ties between entries are ``unmatched``.
@@ -179,27 +179,44 @@ class Countries:
         return UNMATCHED
 
 
+#: Likeness of two tokens that differ by one slip of typing, and the token-set similarity that a value must reach. With at
+#: most five tokens a side, a token without a partner keeps a value below it.
+SLIP, LEAST_SIMILARITY = 0.95, 0.9
+
+
+def allowed_in_token(word: str) -> int:
+    """Slips that a token may have."""
+    return 0 if len(word) < 5 else 1 if len(word) < 8 else 2
+
+
 class Institutions:
     """Matches typed institutions with the ids of a list."""
 
     def __init__(self, entries: list[tuple[str, str]]) -> None:
         acronyms: dict[str, set[str]] = defaultdict(set)
         names: dict[str, set[str]] = defaultdict(set)
-        self.by_place: dict[str, list[tuple[frozenset, str]]] = defaultdict(list)
+        self.entries: list[tuple[frozenset, str]] = []
         for ref, name in entries:
             for a in re.findall(r"\(([^()]*)\)", name):
                 if len(a.split()) == 1:
                     acronyms[fold(a)].add(ref)
             words = self.words(re.sub(r"\([^()]*\)", " ", name))
-            place, kinds = self.split(words)
             names[" " + " ".join(words) + " "].add(ref)
-            self.by_place[place].append((kinds, ref))
+            self.entries.append((frozenset(words), ref))
         self.acronyms = {k: next(iter(v)) for k, v in acronyms.items() if len(v) == 1}
         self.names = {k: next(iter(v)) for k, v in names.items() if len(v) == 1}
         self.auto = None
-        self.places: dict[int, list[str]] = defaultdict(list)
-        for p in self.by_place:
-            self.places[len(p)].append(p)
+        self.index: dict[str, list[int]] = defaultdict(list)
+        self.places: dict[int, list[tuple[str, int]]] = defaultdict(list)
+        self.tokens_by_length: dict[int, list[str]] = defaultdict(list)
+        for i, (tokens, _) in enumerate(self.entries):
+            place = "".join(sorted(w for w in tokens if w not in KIND_WORDS))
+            self.places[len(place)].append((place, i))
+            for t in tokens:
+                self.index[t].append(i)
+        for t in self.index:
+            self.tokens_by_length[len(t)].append(t)
+        self.index = dict(self.index)
 
     @staticmethod
     @lru_cache(maxsize=65_536)
@@ -222,18 +239,49 @@ class Institutions:
         """The place and the kind words."""
         return " ".join(sorted({w for w in words if w not in KIND_WORDS})), frozenset(w for w in words if w in KIND_WORDS)
 
-    def near_place(self, place: str) -> tuple[str, ...]:
-        """Listed places that a place is or is a slip of."""
-        if place in self.by_place:
-            return (place,)
-        most = 1 if 4 < len(place) < 8 else 2 if len(place) >= 8 else 0
-        near: dict[int, list[str]] = defaultdict(list)
-        for n in range(len(place) - most, len(place) + most + 1):
-            for p in self.places.get(n, ()) if most else ():
-                d = slips(place, p, most)
-                if d <= most:
-                    near[d].append(p)
-        return tuple(near[min(near)]) if near else ()
+    @lru_cache(maxsize=65_536)  # noqa: B019 - one matcher lives as long as its task
+    def near_tokens(self, word: str) -> tuple[tuple[str, float], ...]:
+        """(token, likeness) of the listed tokens that a word is or is a slip of."""
+        if word in self.index:
+            return ((word, 1.0),)
+        most = allowed_in_token(word)
+        found = ((t, slips(word, t, most)) for n in range(len(word) - most, len(word) + most + 1) for t in self.tokens_by_length.get(n, ())) if most else ()
+        return tuple((t, SLIP**d) for t, d in found if d <= most)
+
+    def similarity(self, words: frozenset, entry: frozenset) -> float:
+        """Token-set similarity: twice the likeness of paired tokens over the number of tokens of both.
+
+        Equal tokens are paired first, then slips, then what is left of both sides run together ("Newtown", "New Town").
+        """
+        total, left, rest = float(len(words & entry)), set(words - entry), set(entry - words)
+        for w in sorted(left):
+            like, t = max(((x, t) for t, x in self.near_tokens(w) if t in rest), default=(0.0, ""))
+            if like:
+                total += like
+                left.discard(w)
+                rest.discard(t)
+        if left and rest and (left | rest).isdisjoint(KIND_WORDS):
+            one, other = "".join(sorted(left)), "".join(sorted(rest))
+            most = allowed_in_token(one)
+            d = slips(one, other, most) if most and abs(len(one) - len(other)) <= most else most + 1
+            if one == other or d <= most:
+                total += (len(left) + len(rest)) / 2 * SLIP ** (0 if one == other else d)
+        return 2 * total / (len(words) + len(entry))
+
+    @lru_cache(maxsize=65_536)  # noqa: B019
+    def similar(self, words: frozenset) -> frozenset:
+        """The entries most like a set of tokens, if they are like enough."""
+        place = "".join(sorted(w for w in words if w not in KIND_WORDS))
+        most = allowed_in_token(place)
+        keys = {t for w in words if w not in KIND_WORDS for t, _ in self.near_tokens(w)}
+        about = {i for t in keys for i in self.index[t]}
+        about |= {i for n in range(len(place) - most, len(place) + most + 1) for p, i in self.places.get(n, ()) if p == place or most and slips(place, p, most) <= most}
+        best: dict[float, set[str]] = defaultdict(set)
+        for i in about:
+            tokens, ref = self.entries[i]
+            best[round(self.similarity(words, tokens), 9)].add(ref)
+        top = max(best, default=0.0)
+        return frozenset(best[top]) if top >= LEAST_SIMILARITY else frozenset()
 
     def __call__(self, value: str) -> str:
         if re.sub(r"[\W_]+", "", fold(value)) in PLACEHOLDERS:
@@ -257,7 +305,7 @@ class Institutions:
                 exact.append((len(words[0]), self.acronyms[words[0]]))
             place, kinds = self.split(words)
             if place and kinds:
-                hits = {ref for p in self.near_place(place) for k, ref in self.by_place[p] if k == kinds}
+                hits = self.similar(frozenset(words))
                 near += [hits] if len(hits) == 1 else []
         if exact:
             longest = max(n for n, _ in exact)

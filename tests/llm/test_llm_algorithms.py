@@ -229,6 +229,17 @@ def test_auction_takes_what_is_too_large(spark, monkeypatch):
     assert rows(crosslink.assign(spark.createDataFrame(edges, "a string, b string, v double"))) == [("a", "y", 0.8), ("b", "x", 0.85), ("c", "c", 0.3)]
 
 
+def test_token_set_similarity():
+    m = canonical.Institutions([("1", "University of Vestashan"), ("2", "Vestashan University of Technology"), ("3", "New Town College"), ("4", "Newmark College")])
+    words = lambda t: frozenset(m.words(t))
+    for i, (tokens, ref) in enumerate(m.entries):
+        assert m.similarity(tokens, tokens) == 1.0 and m.similar(tokens) == {ref}, i
+    assert m.similarity(words("Vestashan University"), words("Vestashan University of Technology")) == 0.8
+    assert m.similar(words("Vestahsan Univ")) == {"1"} and m.similar(words("Technology University of Vestashn")) == {"2"}
+    assert m.similar(words("College Newtown")) == {"3"} and m.similar(words("Vestashan College")) == frozenset()
+    assert m("Vestashan Hospital") == canonical.UNMATCHED and m("College of Newmrak") == "4"
+
+
 PERSON = "person_id string, canonical_person_id string, name_original string, name_aliases array<string>, orcid string, primary_email string, current_affiliation string, affiliations array<string>, subjects array<string>, keywords array<string>, h_index int, total_citations int, country string, source_systems array<string>, key string"
 
 
