@@ -281,7 +281,7 @@ def test_cosine_join_finds_all_pairs(spark):
     for least in (0.15, 0.3):
         want = set()
         for x, y in itertools.combinations(sorted(data), 2):
-            both = cosine(x, y, lambda r: spellings.grams_of((*r[3], *r[4])), counts.grams) * cosine(x, y, lambda r: spellings.contexts_of(r[11], r[9], r[10], r[7]), counts.contexts)
+            both = cosine(x, y, lambda r: spellings.grams_of((*r[3], *r[4])), counts.grams) * cosine(x, y, lambda r: spellings.contexts_of(r[11], r[9], r[10], r[7], r[3], r[6]), counts.contexts)
             if x[1] == y[1] and both >= least and people.evidence(x, y, counts.rarity) > -float("inf"):
                 want.add((x[0], y[0]))
         assert {(a, b) for a, b, _ in rows(spellings.similar_pairs(feats, least))} == want
