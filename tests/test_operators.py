@@ -304,3 +304,33 @@ def test_everything_takes_empty_tables(spark):
     assert lookup.top_with_margin(e, ["a"], "b", "s").count() == 0
     assert survivorship.fold(e, ["a"], ["b"], {"k": "union", "s": "max"}).count() == 0
     assert split_packed(e, "a", ["b"]).count() == 0
+
+
+def test_supports_of_decisions(spark):
+    from pyspark.sql import types as T
+
+    df = persons(spark, ("1", "Wang, Li", None, "Monash Univ", "Australia"), ("2", "Li Wang", None, "Monash Univ", "Chile"), ("3", "Wang, Li", None, "Other", "Peru"))
+    df = df.withColumn("source_systems", F.array(F.lit("frontiers"))).withColumn("publication_ids", F.array(F.concat(F.lit("p"), "person_id")))
+    assert isinstance(df.schema["publication_ids"].dataType, T.ArrayType)
+    nodes = matching.nodes_of_persons(df)
+    pairs, skipped = matching.blocked_pairs(matching.block_keys(nodes))
+    plain = {(r["a"], r["b"]): (r["decision"], set(r["rules_hit"])) for r in matching.decided_pairs(pairs, nodes).collect()}
+    assert plain["1", "2"][0] == "merge" and {"institution_overlap", "publication_stability"} <= plain["1", "2"][1] and ("1", "3") not in plain
+    told = matching.with_external(pairs, spark.createDataFrame([("3", "1"), ("1", "3"), ("2", "2")], "a string, b string"))
+    got = {(r["a"], r["b"]): (r["decision"], set(r["rules_hit"])) for r in matching.decided_pairs(told, nodes).collect()}
+    assert got["1", "3"][0] == "manual_review" and "external_matched" in got["1", "3"][1] and skipped.count() == 0
+
+
+def test_projection_of_dirty_rows(spark):
+    from biblioweave.plans import projection
+
+    rows_ = spark.createDataFrame(
+        [("f", "s", 1, {"DOI": "10.1/x", "Publication Year": "2020.0", "Author Keywords": "b; a;;a", "Extra": "1"}), ("f", "s", 2, {"Article Title": "T", "Publication Year": "2020", "Source Title": "J"}), ("f", "s", 3, {})],
+        "source_file string, sheet string, row_index bigint, cells map<string,string>",
+    )
+    got = projection.publications(rows_, F.lit("2024-01-01").cast("timestamp")).orderBy(F.col("source_refs")[0]["row_index"]).collect()
+    assert (got[0]["publication_id"], got[0]["publication_year"], got[0]["author_keywords"]) == ("10.1/x", None, ["a", "b"])
+    assert got[1]["publication_id"] == __import__("hashlib").sha1(b"T|2020|J").hexdigest() and got[1]["publication_year"] == 2020
+    assert len(got) == 3 and got[0]["source_refs"][0]["raw_keys"] == ["Author Keywords", "DOI", "Extra", "Publication Year"]
+    seeds = projection.person_seeds(spark.createDataFrame([("f", "s", 1, {"name": " Li Wang ", "orcid": "x", "countries": "AU"}), ("f", "s", 2, {"name": " - "})], rows_.schema), F.current_timestamp()).collect()
+    assert [(r["name_original"], r["orcid"], r["countries_observed"]) for r in seeds] == [("Li Wang", None, ["AU"])]
