@@ -309,7 +309,7 @@ def test_everything_takes_empty_tables(spark):
 def test_supports_of_decisions(spark):
     from pyspark.sql import types as T
 
-    df = persons(spark, ("1", "Wang, Li", None, "Monash Univ", "Australia"), ("2", "Li Wang", None, "Monash Univ", "Chile"), ("3", "Wang, Li", None, "Other", "Peru"))
+    df = persons(spark, ("1", "Wang, Li", None, "Monash Univ", "Australia"), ("2", "Wang, Li", None, "Monash Univ", "Chile"), ("3", "Wang, Li", None, "Other", "Peru"))
     df = df.withColumn("source_systems", F.array(F.lit("frontiers"))).withColumn("publication_ids", F.array(F.concat(F.lit("p"), "person_id")))
     assert isinstance(df.schema["publication_ids"].dataType, T.ArrayType)
     nodes = matching.nodes_of_persons(df)
