@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -10,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from biblioweave.llm import canonical, components, crosslink, ledger, people, spellings, survivor
+from biblioweave.session import cut
 
 
 def rows(df):
@@ -289,6 +291,25 @@ def test_cosine_join_finds_all_pairs(spark):
     assert sizes[0] >= 190 and sizes[0] > sizes[1]
 
 
+def test_pairs_of_different_subjects_are_not_summed(spark):
+    data = [person(f"s{k:02d}", f"Ana Marvikov{'abcdefghij'[k % 10]}", aff="Brunholm University", subject=["physics", "medicine", None][k % 3]) for k in range(30)]
+    feats = spellings.numbered(people.unmatched_features(spark.createDataFrame(data, PERSON)))
+    of = dict(rows(feats.select("no", "subject")))
+    met = [{of[a], of[b]} - {""} for a, b in rows(spellings.joined(spellings.postings(feats, spellings.count_all(feats), 0.04), 0.09, 0.04))]
+    assert len(met) == 30 * 29 // 2 - 100 and max(map(len, met)) == 1
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    files = lambda: {x for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    before = files()
+    made = cut(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before
+    assert made.count() == 100
+
+
 def test_cross_links(spark):
     data = [
         person("a1", "Katherine Marvikova", "s", orcid="0000-0001-2345-6789", aff="Brunholm University"), person("a2", "K. Marvikova", "s", aff="Brunholm University", alias=["Marvikova, Katherine"]),
