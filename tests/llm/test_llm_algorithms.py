@@ -291,6 +291,15 @@ def test_cosine_join_finds_all_pairs(spark):
     assert sizes[0] >= 190 and sizes[0] > sizes[1]
 
 
+def test_sure_pairs_without_a_place_in_common(spark):
+    same = [
+        person("a1", "Zygmunt Ferencz Quillfeather", subject=None), person("a2", "QUILLFEATHER, Zygmunt Ferencz", subject=None), person("a3", "Zygmunt Ferencz Quillfaether", subject=None, aff="Brunholm University"),
+        person("b1", "Zygmunt Ferencz Quillfeather", "t", subject=None), person("c1", None, subject=None), person("d1", "Ottokar Quillfeather", subject=None),
+    ]
+    got = rows(spellings.spelled_differently(spark.createDataFrame(same + crowd(80), PERSON)))
+    assert got == [("a1", "a2"), ("a1", "a3"), ("a2", "a3")]
+
+
 def test_pairs_of_different_subjects_are_not_summed(spark):
     data = [person(f"s{k:02d}", f"Ana Marvikov{'abcdefghij'[k % 10]}", aff="Brunholm University", subject=["physics", "medicine", None][k % 3]) for k in range(30)]
     feats = spellings.numbered(people.unmatched_features(spark.createDataFrame(data, PERSON)))
