@@ -19,23 +19,76 @@ a source of its own; repeated rows count once; an empty table gives no rows; tie
 
 from __future__ import annotations
 
+import functools
 import heapq
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut, drop_cut
 from . import people
 from .components import hash_to_min
-from .spellings import average_linkage
+from .spellings import average_linkage, numbered
 
 EPSILON = 0.01
 MOST = 20_000
 CHUNK = 256
-PAIR = "a string, b string, src_a string, src_b string, sim double"
+PAIR = "a bigint, b bigint, src_a string, src_b string, sim double"
+#: What is compared of a record: its number, and beside texts of any kind the other features, none with white space, in one text.
+ROW = ["no", "src", "subject", "country", "rest"]
+
+
+def packed(feats: DataFrame) -> DataFrame:
+    """``ROW`` of numbered features."""
+    listed = [F.array_join(F.col(c).cast("array<string>"), " ") if c in ("words", "more", "places", "keywords") else F.col(c).cast("string") for c in ("words", "more", "family", "orcid", "mailbox", "domain", "shared", "places", "keywords", "h", "cites")]
+    return feats.select(*ROW[:-1], F.concat_ws("\t", *listed).alias("rest"))
+
+
+def unpacked(row: tuple) -> tuple:
+    """The features of a ``ROW`` as ``people.evidence`` takes them, the number in place of the id."""
+    no, src, subject, country, rest = row
+    words, more, family, orcid, mailbox, domain, shared, places, keywords, h, cites = rest.split("\t")
+    return (no, src, None, words.split(), more.split(), family, subject, orcid, mailbox, domain, shared == "true", places.split(), keywords.split(), int(h), int(cites), country)
+
+
+class Comparer:
+    """Compares records and keeps the pairs that may be one person."""
+
+    def __init__(self, rarity: people.Rarity) -> None:
+        self.rarity = rarity
+        self.found: list[tuple] = []
+        self.seen: set[tuple[int, int]] = set()
+
+    def opened(self, row: tuple) -> list:
+        """A ``ROW`` for ``compare``: number, source, subject, marks of the name, the row itself, and its features once they are needed."""
+        words, more, _ = row[4].split("\t", 2)
+        return [row[0], row[1], row[2], people.name_marks((None, None, None, words.split(), more.split())), row, None]
+
+    def compare(self, old: list, new: list) -> None:
+        if old[0] == new[0] or old[2] and new[2] and old[2] != new[2] or not people.maybe_same_name(new[3], old[3]):
+            return
+        x, y = (old, new) if old[0] < new[0] else (new, old)
+        if (x[0], y[0]) in self.seen:
+            return
+        if len(self.seen) > 500_000:
+            self.seen.clear()  # only saves work: pairs are made distinct later
+        self.seen.add((x[0], y[0]))
+        for r in (x, y):
+            r[5] = r[5] or unpacked(r[4])
+        e = people.evidence(x[5], y[5], self.rarity)
+        if e > -math.inf and (sim := people.confidence(e, self.rarity)) > 0.01:
+            self.found.append((x[0], y[0], x[1], y[1], sim))
+
+    def taken(self) -> pd.DataFrame:
+        """The pairs found since the last call."""
+        found, self.found = self.found, []
+        return pd.DataFrame(found, columns=["a", "b", "src_a", "src_b", "sim"])
 
 
 def sort_keys(row: tuple, rarity: people.Rarity) -> list[str]:
@@ -60,112 +113,117 @@ def sort_keys(row: tuple, rarity: people.Rarity) -> list[str]:
 
 
 def compared(groups: DataFrame, feats: DataFrame, rarity: people.Rarity) -> DataFrame:
-    """(a, b, src_a, src_b, sim) of all pairs that share a group (g, person_id); pairs may repeat."""
-    cols = [c.split()[0] for c in people.FEATURES.split(", ")]
-    wide = [c for c in cols if c != "name"]
+    """(a, b, src_a, src_b, sim) of all pairs that share a group (g, no); pairs may repeat."""
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    dealt = groups.join(groups.groupBy("g").agg(F.count("*").alias("n")), "g").withColumn("chunk", F.pmod(F.xxhash64("person_id", F.lit(5)), chunks).cast("int"))
+    dealt = groups.join(groups.groupBy("g").agg(F.count("*").alias("n")), "g").withColumn("chunk", F.pmod(F.xxhash64("no", F.lit(5)), chunks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    dealt = dealt.select("g", "person_id", "chunk", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"))
-    rows = dealt.join(feats.select(*wide), "person_id").withColumn("name", F.lit(None).cast("string"))
-    rows = rows.repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi", "person_id")
+    dealt = dealt.select("g", "no", "chunk", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"))
+    rows = dealt.join(packed(feats), "no").repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi", "no")
 
     def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group: list[tuple] = []
         now = None
-        found: list[tuple] = []
-        seen: set[tuple[str, str]] = set()
+        comparer = Comparer(rarity)
         for b in batches:
-            for g, lo, hi, chunk, row in zip(b["g"], b["lo"], b["hi"], b["chunk"], b[cols].itertuples(index=False, name=None), strict=True):
+            for g, lo, hi, chunk, *row in zip(*(b[c].tolist() for c in ("g", "lo", "hi", "chunk", *ROW)), strict=True):
                 if (g, lo, hi) != now:
                     group, now = [], (g, lo, hi)
-                marks = people.name_marks(row)
-                for other, old, old_marks in group:
-                    if lo != hi and chunk == other:
-                        continue  # they meet where their chunk meets itself
-                    if old[0] == row[0] or old[6] and row[6] and old[6] != row[6] or not people.maybe_same_name(marks, old_marks):
-                        continue
-                    x, y = (old, row) if old[0] < row[0] else (row, old)
-                    if (x[0], y[0]) in seen:
-                        continue
-                    if len(seen) > 500_000:
-                        seen.clear()  # only saves work: pairs are made distinct later
-                    seen.add((x[0], y[0]))
-                    e = people.evidence(x, y, rarity)
-                    if e > -math.inf:
-                        found.append((x[0], y[0], x[1], y[1], people.confidence(e, rarity)))
-                group.append((chunk, row, marks))
-                if len(found) >= 50_000:
-                    yield pd.DataFrame(found, columns=["a", "b", "src_a", "src_b", "sim"])
-                    found = []
-            yield pd.DataFrame(found, columns=["a", "b", "src_a", "src_b", "sim"])
-            found = []
+                new = comparer.opened(tuple(row))
+                for other, old in group:
+                    if lo == hi or chunk != other:  # else they meet where their chunk meets itself
+                        comparer.compare(old, new)
+                group.append((chunk, new))
+                if len(comparer.found) >= 50_000:
+                    yield comparer.taken()
+            yield comparer.taken()
+
+    return rows.mapInPandas(pair, PAIR)
 
-    return rows.mapInPandas(pair, PAIR).where("sim > 0.01")
 
+def neighbours(feats: DataFrame, window: int = 10, run: int | None = None, rarity: people.Rarity | None = None) -> DataFrame:
+    """(a, b, src_a, src_b, sim): numbers of compared pairs that may be one person, a < b, each once.
 
-def neighbours(feats: DataFrame, window: int = 10, run: int = 4000, rarity: people.Rarity | None = None) -> DataFrame:
-    """(a, b, src_a, src_b, sim): compared pairs that may be one person, a < b, each once."""
+    With ``run``, tasks get about so many sorted rows, else as many as the session deals to one.
+    """
+    feats = feats if "no" in feats.columns else numbered(feats)
     rarity = rarity or people.count_words(feats)
-    cols = [c.split()[0] for c in people.FEATURES.split(", ")]
-    wide = [c for c in cols if c != "name"]
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = [sort_keys(r, rarity) for r in b[cols].itertuples(index=False, name=None)]
-            yield pd.DataFrame({"key": [k for ks in keys for k in ks], "person_id": [i for i, ks in zip(b["person_id"], keys, strict=True) for _ in ks]})
-
-    # keys and ids are sorted alone; the features join them once every row has its place
-    blank = [F.lit(None).cast("string").alias("name") if c == "name" else F.array().cast("array<int>").alias(c) if c == "keywords" else F.lit(0).alias(c) if c in ("h", "cites") else F.lit("").alias(c) if c == "country" else F.col(c) for c in cols]
-    tall = cut(feats.select(*blank).mapInPandas(keyed, "key string, person_id string"), "sort-keys")
-    ordered = tall.repartitionByRange("key", "person_id").sortWithinPartitions("key", "person_id")
-    ordered = cut(ordered.select("person_id", F.monotonically_increasing_id().alias("m")), "sorted")
-    # runs of ties that are longer than the window
-    keys = tall.select(F.xxhash64("key").alias("g"), "person_id")
-    tied = cut(keys.join(keys.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > window).select("g"), "g", "left_semi"), "tied")
-    drop_cut(tall)
-    # the place in the whole order: rows of earlier partitions, then the place within one
-    part, inside = F.shiftright("m", 33).cast("int"), F.col("m").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = sorted((r[0], r[1]) for r in ordered.groupBy(part.alias("p")).agg(F.count("*")).collect())
-    before, total = {}, 0
-    for p, n in counts:
-        before[p], total = total, total + n
-    start = F.element_at(F.create_map(*[x for p, n in before.items() for x in (F.lit(p), F.lit(n).cast("bigint"))]), part) if before else F.lit(0).cast("bigint")
-    placed = ordered.select("person_id", (inside + start).alias("place"))
-    home = (F.col("place") / F.lit(run)).cast("bigint")
-    homes = F.when((F.col("place") % run < window - 1) & (home > 0), F.array(home, home - 1)).otherwise(F.array(home))
-    runs = placed.withColumn("run", F.explode(homes)).join(feats.select(*wide), "person_id").withColumn("name", F.lit(None).cast("string"))
-    runs = runs.repartition("run").sortWithinPartitions("run", "place")
+            keys = [sort_keys(unpacked(r), rarity) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+            at = pa.array(np.repeat(np.arange(len(keys)), [len(ks) for ks in keys]))
+            yield pa.RecordBatch.from_arrays([pa.array([k for ks in keys for k in ks], pa.string()), *(c.take(at) for c in b.columns)], names=["key", *ROW])
+
+    tall = cut(packed(feats).mapInArrow(keyed, "key string, no bigint, src string, subject string, country string, rest string"), "sort-keys")
+    tasks = [max(1, math.ceil(tall.count() / run))] if run else []
+    ordered = tall.repartitionByRange(*tasks, "key", "no").sortWithinPartitions("key", "no")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        recent: list[tuple] = []
-        now = None
-        seen: set[tuple[str, str]] = set()
+        """Pairs; the rows at both ends of the task, as a with its features; and the rows of ties that are, or may go on to be, longer than the window, as a with the key."""
+        part = TaskContext.get().partitionId()
+        comparer = Comparer(rarity)
+        recent: list[list] = []
+        at, key, first, tied = 0, None, True, []
         for b in batches:
-            found = []
-            for r, row in zip(b["run"], b[cols].itertuples(index=False, name=None), strict=True):
-                if r != now:
-                    recent, now = [], r
-                marks = people.name_marks(row)
-                for old, old_marks in recent:
-                    if old[0] == row[0] or old[6] and row[6] and old[6] != row[6] or not people.maybe_same_name(marks, old_marks):
-                        continue
-                    x, y = (old, row) if old[0] < row[0] else (row, old)
-                    if (x[0], y[0]) in seen:
-                        continue
-                    if len(seen) > 500_000:
-                        seen.clear()  # only saves work: pairs are made distinct later
-                    seen.add((x[0], y[0]))
-                    e = people.evidence(x, y, rarity)
-                    if e > -math.inf:
-                        found.append((x[0], y[0], x[1], y[1], people.confidence(e, rarity)))
-                recent.append((row, marks))
+            ends, ties = [], []
+            for k, *row in zip(*(b[c].tolist() for c in ("key", *ROW)), strict=True):
+                new = comparer.opened(tuple(row))
+                for old in recent:
+                    comparer.compare(old, new)
+                recent.append(new)
                 if len(recent) >= window:
                     del recent[0]
-            yield pd.DataFrame(found, columns=["a", "b", "src_a", "src_b", "sim"])
+                if at < window - 1:
+                    ends.append((at, *row))
+                at += 1
+                if k != key:
+                    first, key, tied, length = key is None, k, [], 0
+                tied.append(row[0])
+                length += 1
+                if first or length > window:
+                    ties += [(k, i) for i in tied]
+                    tied = []
+            yield comparer.taken()
+            yield pd.DataFrame(ends, columns=["at", "a", "src_a", "subject", "country", "rest"]).assign(part=part)
+            yield pd.DataFrame(ties, columns=["key", "a"])
+        last = [(at - len(recent) + i, *r[4]) for i, r in enumerate(recent)]
+        yield pd.DataFrame([r for r in last if r[0] >= window - 1], columns=["at", "a", "src_a", "subject", "country", "rest"]).assign(part=part)
+        yield pd.DataFrame([(key, i) for i in tied], columns=["key", "a"])
 
-    near = runs.mapInPandas(compare, PAIR).where("sim > 0.01")
-    return near.unionByName(compared(tied, feats, rarity)).groupBy("a", "b").agg(F.first("src_a").alias("src_a"), F.first("src_b").alias("src_b"), F.max("sim").alias("sim"))
+    kinds = {"a": "Int64", "b": "Int64", "src_a": object, "src_b": object, "sim": "Float64", "part": "Int64", "at": "Int64", "key": object, "subject": object, "country": object, "rest": object}
+
+    def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in compare(batches):
+            if len(x):
+                yield pd.DataFrame({c: x[c].astype(kind) if c in x else pd.Series([None] * len(x), dtype=kind) for c, kind in kinds.items()})
+
+    met = cut(ordered.mapInPandas(aligned, f"{PAIR}, part int, at bigint, key string, subject string, country string, rest string"), "met")
+    drop_cut(tall)
+
+    def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        comparer = Comparer(rarity)
+        recent: list[tuple[int, list]] = []
+        for b in batches:
+            for part, *row in zip(*(b[c].tolist() for c in ("part", "a", "src_a", "subject", "country", "rest")), strict=True):
+                new = comparer.opened(tuple(row))
+                for other, old in recent:
+                    if other != part:  # else they have met
+                        comparer.compare(old, new)
+                recent.append((part, new))
+                if len(recent) >= window:
+                    del recent[0]
+            yield comparer.taken()
+
+    # both ends of all tasks are few; between the last rows of a task and the first ones of the next there are no others
+    borders = met.where("part is not null").select("part", "at", "a", "src_a", "subject", "country", "rest").repartition(1).sortWithinPartitions("part", "at")
+    found = [met.where("b is not null").select("a", "b", "src_a", "src_b", "sim"), borders.mapInPandas(across, PAIR)]
+    tied = met.where("key is not null").select(F.xxhash64("key").alias("g"), F.col("a").alias("no"))
+    long = tied.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > window).select("g")
+    tied = cut(tied.join(long, "g", "left_semi"), "tied")
+    if not tied.isEmpty():
+        found.append(compared(tied, feats, rarity))
+    # a pair has its sources: they are grouped by, as numbers alone aggregate without sorting
+    return functools.reduce(DataFrame.unionByName, found).groupBy("a", "b", "src_a", "src_b").agg(F.max("sim").alias("sim"))
 
 
 def best_assignment(edges: list[tuple[str, str, float]]) -> list[tuple[str, str, float]]:
@@ -270,21 +328,21 @@ def auction(edges: DataFrame) -> DataFrame:
 def inner_pairs(pairs: DataFrame, feats: DataFrame, rarity: people.Rarity, least: float) -> DataFrame:
     """(a, b, sim) of all pairs among records of one source that pairs of at least ``least`` link, however indirectly."""
     sure = pairs.where((F.col("src_a") == F.col("src_b")) & (F.col("sim") >= least)).select("a", "b", "sim")
-    linked = cut(hash_to_min(sure, "a", "b").select(F.col("component").alias("g"), F.col("node").alias("person_id")), "inner")
+    linked = cut(hash_to_min(sure, "a", "b").select(F.col("component").alias("g"), F.col("node").alias("no")), "inner")
     # a component of two is the pair itself
     large = linked.groupBy("g").agg(F.count("*").alias("n")).where("n > 2").select("g")
     larger = cut(linked.join(large, "g", "left_semi"), "inner-larger")
-    two = sure.join(larger.select(F.col("person_id").alias("a")), "a", "left_anti")
+    two = sure.join(larger.select(F.col("no").alias("a")), "a", "left_anti")
     whole = compared(larger, feats, rarity).groupBy("a", "b").agg(F.max("sim").alias("sim"))
     return two.unionByName(whole)
 
 
-def linked_people(person: DataFrame, least: float = 0.5) -> DataFrame:
-    """(person_id_a, person_id_b, confidence) of unmatched records of different sources, smaller id first."""
-    feats = cut(people.unmatched_features(person), "people")
+def linked_rows(person: DataFrame, least: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """(person_id_a, person_id_b, na, nb) of unmatched records of different sources, smaller id first, with their numbers; compared pairs."""
+    feats = numbered(people.unmatched_features(person))
     rarity = people.count_words(feats)
     pairs = cut(neighbours(feats, rarity=rarity), "neighbours")
-    entities = average_linkage(inner_pairs(pairs, feats, rarity, least), least)
+    entities = cut(average_linkage(inner_pairs(pairs, feats, rarity, least), least), "entities")
     across = pairs.where((F.col("src_a") != F.col("src_b")) & (F.col("sim") >= least))
     ea, eb = entities.select(F.col("id").alias("a"), F.col("cluster").alias("ea")), entities.select(F.col("id").alias("b"), F.col("cluster").alias("eb"))
     named = across.join(ea, "a", "left").join(eb, "b", "left").select("src_a", "src_b", F.coalesce("ea", "a").alias("ea"), F.coalesce("eb", "b").alias("eb"), "sim")
@@ -292,13 +350,26 @@ def linked_people(person: DataFrame, least: float = 0.5) -> DataFrame:
     first = F.col("src_a") < F.col("src_b")
     x, y = F.when(first, F.col("ea")).otherwise(F.col("eb")), F.when(first, F.col("eb")).otherwise(F.col("ea"))
     sx, sy = F.least("src_a", "src_b"), F.greatest("src_a", "src_b")
-    edges = named.select(F.concat_ws("\u0001", x, sy).alias("a"), F.concat_ws("\u0001", y, sx).alias("b"), F.col("sim").alias("v"))
-    chosen = assign(edges).select(F.substring_index("a", "\u0001", 1).alias("a"), F.substring_index("b", "\u0001", 1).alias("b"))
-    persons = cut(hash_to_min(chosen, "a", "b"), "persons")
-    rows = feats.select(F.col("person_id").alias("id"), "src").join(entities, "id", "left").withColumn("node", F.coalesce("cluster", "id")).join(persons, "node").select("component", "id", "src")
-    rows = cut(rows, "person-rows")
+    # numbers as texts of one length are in the order of the numbers
+    text = lambda n: F.lpad(n.cast("string"), 15, "0")
+    edges = named.select(F.concat_ws("\u0001", text(x), sy).alias("a"), F.concat_ws("\u0001", text(y), sx).alias("b"), F.col("sim").alias("v"))
+    chosen = assign(edges).select(*[F.substring_index(c, "\u0001", 1).cast("bigint").alias(c) for c in "ab"])
+    persons = hash_to_min(chosen, "a", "b").select(F.col("node").alias("cluster"), "component")
+    members = persons.join(entities, "cluster", "left").select("component", F.coalesce("id", "cluster").alias("no"))
+    rows = cut(feats.select("no", "person_id", "src").join(members, "no"), "person-rows")
     l, r = rows.alias("l"), rows.alias("r")
-    out = l.join(r, (F.col("l.component") == F.col("r.component")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.src") != F.col("r.src"))).select(F.col("l.id").alias("person_id_a"), F.col("r.id").alias("person_id_b"))
-    seen = pairs.select(F.col("a").alias("person_id_a"), F.col("b").alias("person_id_b"), F.col("sim").alias("direct"))
+    out = l.join(r, (F.col("l.component") == F.col("r.component")) & (F.col("l.no") < F.col("r.no")) & (F.col("l.src") != F.col("r.src")))
+    return out.select(F.col("l.person_id").alias("person_id_a"), F.col("r.person_id").alias("person_id_b"), F.col("l.no").alias("na"), F.col("r.no").alias("nb")), pairs
+
+
+def linked_ids(person: DataFrame, least: float = 0.5) -> DataFrame:
+    """``linked_people`` without the confidence."""
+    return linked_rows(person, least)[0].select("person_id_a", "person_id_b")
+
+
+def linked_people(person: DataFrame, least: float = 0.5) -> DataFrame:
+    """(person_id_a, person_id_b, confidence) of unmatched records of different sources, smaller id first."""
+    out, pairs = linked_rows(person, least)
+    seen = pairs.select(F.col("a").alias("na"), F.col("b").alias("nb"), F.col("sim").alias("direct"))
     # a pair that was not compared itself is as sure as the least that counts
-    return out.join(seen, ["person_id_a", "person_id_b"], "left").select("person_id_a", "person_id_b", F.round(F.coalesce("direct", F.lit(least)), 6).alias("confidence"))
+    return out.join(seen, ["na", "nb"], "left").select("person_id_a", "person_id_b", F.round(F.coalesce("direct", F.lit(least)), 6).alias("confidence"))

@@ -349,3 +349,40 @@ def test_windows_cross_task_borders(spark):
 @pytest.mark.parametrize(("a", "b", "want"), [("robert", "bob", 0.9), ("robert", "b", 0.4), ("robert", "r", 0.5), ("marvikova", "marvikvoa", 0.85), ("ana", "una", 0.85), ("li", "lu", 0.0), ("ana", "ana", 1.0)])
 def test_word_match(a, b, want):
     assert people.word_match(a, b) == want
+
+
+def test_ties_cross_task_borders(spark):
+    # 33 names a letter or two apart, each with an identifier; 40 rows that tie on all keys, more than a task holds
+    near = [person(f"w{k:03d}", f"Ana Marviko{'abcdefghij'[k % 10]}{'xyzv'[k // 10]}", "st"[k % 2], aff="Brunholm University") for k in range(33)]
+    ties = [person(f"t{k:03d}", "Katherine Stenlund", "st"[k % 2], aff="Brunholm University") for k in range(40)]
+    feats = spellings.numbered(people.unmatched_features(spark.createDataFrame([*near, *ties], PERSON)))
+    ids = dict(sorted(map(tuple, feats.select("no", "person_id").collect())))
+    assert list(ids.values()) == sorted(ids.values())
+    rarity = people.count_words(feats)
+    keys = sorted((k, no) for no, r in sorted((x["no"], tuple(x[c.split()[0]] for c in people.FEATURES.split(", "))) for x in feats.collect()) for k in crosslink.sort_keys(r, rarity))
+    close = {tuple(sorted((a, b))) for i, (k, a) in enumerate(keys) for j, (m, b) in enumerate(keys) if i < j and (j - i < 5 or k == m)} - {(i, i) for i in ids}
+    whole = {(a, b) for a, b, *_ in rows(crosslink.neighbours(feats, window=100, rarity=rarity))}
+    assert {(a, b) for a, b in whole if ids[a][0] == ids[b][0] == "t"} == set(itertools.combinations([n for n, i in ids.items() if i[0] == "t"], 2))
+    for run in (3, 8, None):
+        got = [(a, b) for a, b, *_ in rows(crosslink.neighbours(feats, window=5, run=run, rarity=rarity))]
+        assert len(got) == len(set(got))
+        assert set(got) == whole & close
+
+
+def shuffled(spark):
+    """Bytes that the session has shuffled so far."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+
+
+def test_links_shuffle_little(spark):
+    r = random.Random(5)
+    data = []
+    for k in range(1000):
+        name = f"{r.choice('Ana Bea Eva Ivo Kim'.split())} {''.join(r.choice('bdfgklmnprst') + r.choice('aeiou') for _ in range(4)).title()}"
+        orcid, aff = f"0000-0001-{r.randrange(10000):04d}-{r.randrange(10000):04d}", f"{r.choice('Brunholm Stenlund Karvik Ostmar'.split())} University"
+        data += [person(f"{r.getrandbits(160):040x}", name, src, orcid=orcid, aff=aff) for src in "st"]
+    df = cut(spark.createDataFrame(data, PERSON))
+    before = shuffled(spark)
+    assert crosslink.linked_ids(df).count() == 1000
+    assert shuffled(spark) - before < 700 * len(data)
