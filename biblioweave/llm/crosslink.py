@@ -40,21 +40,6 @@ EPSILON = 0.01
 MOST = 20_000
 CHUNK = 256
 PAIR = "a bigint, b bigint, src_a string, src_b string, sim double"
-#: What is compared of a record: its number, and beside texts of any kind the other features, none with white space, in one text.
-ROW = ["no", "src", "subject", "country", "rest"]
-
-
-def packed(feats: DataFrame) -> DataFrame:
-    """``ROW`` of numbered features."""
-    listed = [F.array_join(F.col(c).cast("array<string>"), " ") if c in ("words", "more", "places", "keywords") else F.col(c).cast("string") for c in ("words", "more", "family", "orcid", "mailbox", "domain", "shared", "places", "keywords", "h", "cites")]
-    return feats.select(*ROW[:-1], F.concat_ws("\t", *listed).alias("rest"))
-
-
-def unpacked(row: tuple) -> tuple:
-    """The features of a ``ROW`` as ``people.evidence`` takes them, the number in place of the id."""
-    no, src, subject, country, rest = row
-    words, more, family, orcid, mailbox, domain, shared, places, keywords, h, cites = rest.split("\t")
-    return (no, src, None, words.split(), more.split(), family, subject, orcid, mailbox, domain, shared == "true", places.split(), keywords.split(), int(h), int(cites), country)
 
 
 class Comparer:
@@ -66,7 +51,7 @@ class Comparer:
         self.seen: set[tuple[int, int]] = set()
 
     def opened(self, row: tuple) -> list:
-        """A ``ROW`` for ``compare``: number, source, subject, marks of the name, the row itself, and its features once they are needed."""
+        """A ``people.ROW`` for ``compare``: number, source, subject, marks of the name, the row itself, and its features once they are needed."""
         words, more, _ = row[4].split("\t", 2)
         return [row[0], row[1], row[2], people.name_marks((None, None, None, words.split(), more.split())), row, None]
 
@@ -80,7 +65,7 @@ class Comparer:
             self.seen.clear()  # only saves work: pairs are made distinct later
         self.seen.add((x[0], y[0]))
         for r in (x, y):
-            r[5] = r[5] or unpacked(r[4])
+            r[5] = r[5] or people.unpacked(r[4])
         e = people.evidence(x[5], y[5], self.rarity)
         if e > -math.inf and (sim := people.confidence(e, self.rarity)) > 0.01:
             self.found.append((x[0], y[0], x[1], y[1], sim))
@@ -118,14 +103,14 @@ def compared(groups: DataFrame, feats: DataFrame, rarity: people.Rarity) -> Data
     dealt = groups.join(groups.groupBy("g").agg(F.count("*").alias("n")), "g").withColumn("chunk", F.pmod(F.xxhash64("no", F.lit(5)), chunks).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     dealt = dealt.select("g", "no", "chunk", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"))
-    rows = dealt.join(packed(feats), "no").repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi", "no")
+    rows = dealt.join(people.packed(feats), "no").repartition("g", "lo", "hi").sortWithinPartitions("g", "lo", "hi", "no")
 
     def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group: list[tuple] = []
         now = None
         comparer = Comparer(rarity)
         for b in batches:
-            for g, lo, hi, chunk, *row in zip(*(b[c].tolist() for c in ("g", "lo", "hi", "chunk", *ROW)), strict=True):
+            for g, lo, hi, chunk, *row in zip(*(b[c].tolist() for c in ("g", "lo", "hi", "chunk", *people.ROW)), strict=True):
                 if (g, lo, hi) != now:
                     group, now = [], (g, lo, hi)
                 new = comparer.opened(tuple(row))
@@ -150,11 +135,11 @@ def neighbours(feats: DataFrame, window: int = 10, run: int | None = None, rarit
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = [sort_keys(unpacked(r), rarity) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+            keys = [sort_keys(people.unpacked(r), rarity) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
             at = pa.array(np.repeat(np.arange(len(keys)), [len(ks) for ks in keys]))
-            yield pa.RecordBatch.from_arrays([pa.array([k for ks in keys for k in ks], pa.string()), *(c.take(at) for c in b.columns)], names=["key", *ROW])
+            yield pa.RecordBatch.from_arrays([pa.array([k for ks in keys for k in ks], pa.string()), *(c.take(at) for c in b.columns)], names=["key", *people.ROW])
 
-    tall = cut(packed(feats).mapInArrow(keyed, "key string, no bigint, src string, subject string, country string, rest string"), "sort-keys")
+    tall = cut(people.packed(feats).mapInArrow(keyed, "key string, no bigint, src string, subject string, country string, rest string"), "sort-keys")
     tasks = [max(1, math.ceil(tall.count() / run))] if run else []
     ordered = tall.repartitionByRange(*tasks, "key", "no").sortWithinPartitions("key", "no")
 
@@ -166,7 +151,7 @@ def neighbours(feats: DataFrame, window: int = 10, run: int | None = None, rarit
         at, key, first, tied = 0, None, True, []
         for b in batches:
             ends, ties = [], []
-            for k, *row in zip(*(b[c].tolist() for c in ("key", *ROW)), strict=True):
+            for k, *row in zip(*(b[c].tolist() for c in ("key", *people.ROW)), strict=True):
                 new = comparer.opened(tuple(row))
                 for old in recent:
                     comparer.compare(old, new)

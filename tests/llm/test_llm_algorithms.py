@@ -291,6 +291,32 @@ def test_cosine_join_finds_all_pairs(spark):
     assert sizes[0] >= 190 and sizes[0] > sizes[1]
 
 
+@pytest.mark.parametrize("common", [4.0, 6.0, 8.0, 30.0])
+def test_common_dimensions_of_light_records_are_not_summed(spark, monkeypatch, common):
+    monkeypatch.setattr(spellings, "COMMON", common)
+    r = random.Random(7)
+    data = []
+    for k in range(120):
+        name = f"{r.choice('Ana Bea Eva Ivo'.split())} {''.join(r.choice('bdfg') + r.choice('aeiou') for _ in range(3)).title()}"
+        orcid = f"0000-000{r.randrange(9)}-{r.randrange(10000):04d}-{r.randrange(10000):04d}"
+        for n in range(r.randrange(1, 3)):
+            data.append(person(f"p{k:03d}{n}", name if n == 0 else name[:-1] + "x", orcid=[orcid, None][r.randrange(4) == 0], aff=f"{r.choice('Brunholm Stenlund'.split())} University", subject=r.choice(["physics", "law", None])))
+    feats = spellings.numbered(people.unmatched_features(spark.createDataFrame(data, PERSON))).cache()
+    counts = spellings.count_all(feats)
+    vectors = []
+    for x in feats.collect():
+        (u, lu), (v, lv) = spellings.unit(spellings.grams_of((*x.words, *x.more)), counts.grams, counts.records), spellings.unit(spellings.contexts_of(x.places, x.domain, x.shared, x.orcid, x.words, x.subject), counts.contexts, counts.records)
+        vectors.append((x.no, x.subject, {k: w / lu for k, w in u.items()}, {k: w / lv for k, w in v.items()}))
+    for least, slack in ((0.09, 0.045), (0.3, 0.05)):
+        posted = spellings.postings(feats, counts, slack).cache()
+        dot = lambda u, v: sum(w * v[k] for k, w in u.items() if k in v)
+        want = {(a, b) for (a, sa, ga, ca), (b, sb, gb, cb) in itertools.combinations(sorted(vectors, key=lambda v: v[0]), 2) if (not sa or not sb or sa == sb) and dot(ga, gb) * dot(ca, cb) >= least}
+        got = {tuple(sorted(p)) for p in rows(spellings.joined(posted, least, slack))}
+        assert len(want) > 20 and want <= got
+        summed, met = spellings.meeting(posted).where("wa > 0 or wb > 0").count(), spellings.meeting(posted).count()
+        assert summed < met or common >= 8
+
+
 def test_sure_pairs_without_a_place_in_common(spark):
     same = [
         person("a1", "Zygmunt Ferencz Quillfeather", subject=None), person("a2", "QUILLFEATHER, Zygmunt Ferencz", subject=None), person("a3", "Zygmunt Ferencz Quillfaether", subject=None, aff="Brunholm University"),
@@ -386,3 +412,16 @@ def test_links_shuffle_little(spark):
     before = shuffled(spark)
     assert crosslink.linked_ids(df).count() == 1000
     assert shuffled(spark) - before < 700 * len(data)
+
+
+def test_spellings_shuffle_little(spark):
+    r = random.Random(6)
+    data = []
+    for _ in range(1000):
+        name = f"{r.choice('Ana Bea Eva Ivo Kim'.split())} {''.join(r.choice('bdfgklmnprst') + r.choice('aeiou') for _ in range(4)).title()}"
+        orcid, aff = f"0000-0001-{r.randrange(10000):04d}-{r.randrange(10000):04d}", f"{r.choice('Brunholm Stenlund Karvik Ostmar'.split())} University"
+        data += [person(f"{r.getrandbits(160):040x}", n, orcid=orcid, aff=aff) for n in (name, name.upper())]
+    df = cut(spark.createDataFrame(data, PERSON))
+    before = shuffled(spark)
+    assert spellings.spelled_differently(df).count() == 1000
+    assert shuffled(spark) - before < 1250 * len(data)
