@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import name_aliases, name_parts, name_score
+from ..functions.names import agreement_keys, name_aliases, name_parts, name_score
 from ..functions.text import normalize_text
 from .graph import components, star_edges
 
@@ -191,11 +191,20 @@ def evidence_pairs(relations: DataFrame, occurrences: DataFrame, least: float =
     ``relations``: node, publication_id, name (struct) and aliases of the name in the paper, null where it has none; such
     a relation pairs with every author of the paper. ``occurrences``: node, publication_id, name, aliases.
     """
-    l = relations.select(F.col("node").alias("l_node"), "publication_id", F.col("name").alias("l_name"), F.col("aliases").alias("l_aliases"))
-    r = occurrences.select(F.col("node").alias("r_node"), "publication_id", F.col("name").alias("r_name"), F.col("aliases").alias("r_aliases"))
-    score = name_score(F.col("l_name"), F.col("r_name"), F.col("l_aliases"), F.col("r_aliases"))["score"]
-    kept = l.join(r, "publication_id").where(F.col("l_name").isNull() | (F.coalesce(score, F.lit(0.0)) >= least))
-    return kept.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")).where("a <> b").distinct().withColumn("keys", F.array(F.lit("external_matched")))
+    columns = ["publication_id", "name", "aliases"]
+    l, r = relations.select(F.col("node").alias("l_node"), *columns), occurrences.select(F.col("node").alias("r_node"), *columns)
+
+    def keyed(side: DataFrame, node: str) -> DataFrame:
+        exploded = side.select(node, "publication_id", F.explode_outer(agreement_keys(F.col("name"), F.col("aliases"), least)).alias("key"))
+        return exploded.select(node, F.unhex(F.md5(F.concat("publication_id", F.lit("\u0001"), "key"))).alias("key"))  # 16 bytes instead of both texts
+
+    # names that agree have a key in common, so a paper of many authors isn't paired with itself
+    kept = keyed(l, "l_node").join(keyed(r, "r_node"), "key").select("l_node", "r_node")
+    unnamed = l.where(F.col("name").isNull()) if least > 0 else l
+    if not unnamed.isEmpty():
+        kept = kept.unionByName(unnamed.select("l_node", "publication_id").join(r.select("r_node", "publication_id"), "publication_id").select("l_node", "r_node"))
+    kept = kept.where("l_node <> r_node")
+    return kept.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")).distinct().withColumn("keys", F.array(F.lit("external_matched")))
 
 
 def match_score(given: Column, name_contained: Column, same_doi: Column) -> Column:

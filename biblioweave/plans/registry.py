@@ -505,6 +505,7 @@ def relation_names(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of corresponding authors and all authors of a publication whose names agree (no SQL; names as in name_parts)."""
     a = table(spark, d, "author_occurrence").dropDuplicates(["occurrence_id"])
     full = a.select(F.col("occurrence_id").alias("node"), "publication_id", names.name_parts(F.col("author_name_raw")).alias("name"), F.coalesce("name_aliases", F.array().cast("array<string>")).alias("aliases"), "is_corresponding_author")
+    full = cut(full, "named-authors")
     return matching.evidence_pairs(full.where("is_corresponding_author"), full).select("a", "b")
 
 

@@ -334,3 +334,27 @@ def test_projection_of_dirty_rows(spark):
     assert len(got) == 3 and got[0]["source_refs"][0]["raw_keys"] == ["Author Keywords", "DOI", "Extra", "Publication Year"]
     seeds = projection.person_seeds(spark.createDataFrame([("f", "s", 1, {"name": " Li Wang ", "orcid": "x", "countries": "AU"}), ("f", "s", 2, {"name": " - "})], rows_.schema), F.current_timestamp()).collect()
     assert [(r["name_original"], r["orcid"], r["countries_observed"]) for r in seeds] == [("Li Wang", None, ["AU"])]
+
+
+def test_evidence_pairs_of_a_paper_with_many_authors(spark):
+    import time
+
+    from biblioweave.functions.names import name_parts, name_score
+
+    def authors(*given):
+        df = spark.createDataFrame(given, "node string, publication_id string, raw string, aliases array<string>")
+        return df.select("node", "publication_id", name_parts(F.col("raw")).alias("name"), "aliases")
+
+    names = ["Wang, Li", "LI WANG", "Wang, L", "Wang, Lu", "Wang", "W|ang, Li", "王, 丽", "王, 丽丽", "丽 王", None, "", "Zoë O'Neil", "ONeil, Zoe", "Neil, Zoe O"]
+    aliases = [None, [], ["Wang, Li"], ["x", None], ["x"]]
+    some = authors(*[(f"{i:02d}", "pq"[i % 7 == 0], n, aliases[i % len(aliases)]) for i, n in enumerate(names * 3)]).cache()
+    a, b = some.alias("a"), some.alias("b")
+    for least in (0.0, 0.9, 0.93, 0.96, 0.98, 0.985, 1.0):
+        score = F.coalesce(name_score(F.col("a.name"), F.col("b.name"), F.col("a.aliases"), F.col("b.aliases"))["score"], F.lit(0.0))
+        each = a.join(b, (F.col("a.publication_id") == F.col("b.publication_id")) & (F.col("a.node") != F.col("b.node"))).where(F.col("a.name").isNull() | (score >= least))
+        want = rows(each.select(F.least("a.node", "b.node"), F.greatest("a.node", "b.node")).distinct())
+        assert rows(matching.evidence_pairs(some, some, least).select("a", "b")) == want and want
+    many = spark.range(40_000).select(F.col("id").cast("string").alias("node"), F.lit("p").alias("publication_id"), name_parts(F.concat(F.lit("Name"), F.col("id") % 39_999, F.lit(", X"))).alias("name"), F.array().cast("array<string>").alias("aliases")).localCheckpoint()
+    began = time.time()
+    assert rows(matching.evidence_pairs(many, many).select("a", "b")) == [("0", "39999")]
+    assert time.time() - began < 60  # 1.6 billion pairs, one by one, take minutes
