@@ -317,6 +317,22 @@ def test_common_dimensions_of_light_records_are_not_summed(spark, monkeypatch, c
         assert summed < met or common >= 8
 
 
+def test_records_of_unlike_family_names_do_not_meet(spark):
+    data = [person(f"u{k:02d}", f"{'Bradford Ilmunce Oskewit Vyntahl'.split()[k % 4]}, Magdalena", aff="Brunholm University") for k in range(24)] + [person("v1", "Magdalena Bradford", aff="Brunholm University")]
+    feats = spellings.numbered(people.unmatched_features(spark.createDataFrame(data, PERSON))).cache()
+    of = dict(rows(feats.select("no", "family")))
+    posted = cut(spellings.postings(feats, spellings.count_all(feats), 0.045))
+    met = [{of[i >> spellings.SUBJECT_BITS + spellings.LOW_BITS] for i in (a, b)} - {""} for a, b in rows(spellings.meeting(posted).select("ia", "ib"))]
+    assert max(map(len, met)) == 1 and sum(len(x) == 1 and "bradford" in x for x in met) > 0
+    assert len(rows(spellings.joined(posted, 0.09, 0.045))) == 4 * (6 * 5 // 2) + 6
+    sketch = spellings.family_letters
+    words = ["marvikova", "marvikvoa", "marviko", "mravikova", "ödegård", "odegard", "kate", "katherine", "k", "o'neil", "oneill", "王丽", "x" * 70]
+    for a, b in itertools.product(words, words):
+        x, y = sketch(a), sketch(b)
+        if people.word_match(a, b):
+            assert not x or not y or (x & ~y).bit_count() <= 2 and (y & ~x).bit_count() <= 2
+
+
 def test_sure_pairs_without_a_place_in_common(spark):
     same = [
         person("a1", "Zygmunt Ferencz Quillfeather", subject=None), person("a2", "QUILLFEATHER, Zygmunt Ferencz", subject=None), person("a3", "Zygmunt Ferencz Quillfaether", subject=None, aff="Brunholm University"),
